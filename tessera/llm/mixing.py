@@ -28,7 +28,7 @@ BUCKETS = 1 << 16
 STEPS = 60
 TOLERANCE = 1e-3
 #: Steps whose gradients are replayed from the last written rates.
-REPLAY = 12
+REPLAY = 20
 
 
 def features(raw: np.ndarray, offsets: np.ndarray, words: K.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -150,29 +150,48 @@ def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tol
     m = np.array([[gram[f"g{i}_{j}"] for j in range(len(p))] for i in range(len(p))])
     # the largest curvature of the objective in the per-token metric
     lipschitz = float(np.linalg.eigvalsh(np.diag(scale) @ m @ np.diag(scale)).max())
-    state = written(members.withColumn("rate", F.lit(1.0)).withColumn("__y", F.lit(1.0)), "rates")
+    state = written(members.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0)), "rates")
     replay: list[tuple[np.ndarray, float]] = []
     t = 1.0
 
-    def replayed(df: DataFrame) -> DataFrame:
-        for step, momentum in replay:
-            moved = F.greatest(F.lit(0.0), F.col("__y") - sum((q * F.lit(float(s)) for q, s in zip(p, step, strict=True)), F.lit(0.0)))
-            df = df.withColumn("__new", F.when(F.col("tokens") > 0, moved).otherwise(1.0))
-            df = df.withColumn("__y", F.when(F.col("tokens") > 0, F.col("__new") + F.lit(momentum) * (F.col("__new") - F.col("rate"))).otherwise(1.0)).withColumn("rate", F.col("__new")).drop("__new")
-        return df
+    def expected(batches, steps):
+        for b in batches:
+            rate, ahead, tokens, p = _replayed(b, steps)
+            yield pa.record_batch([pa.array([x]) for x in [*(ahead * tokens) @ p, *(rate * tokens) @ p]], [f"e{i}" for i in range(2 * len(DOMAINS))])
 
     for _ in range(steps):
-        now = replayed(state)
-        got = now.agg(*(F.sum(F.col("__y") * F.col("tokens") * q) for q in p), *(F.sum(F.col("rate") * F.col("tokens") * q) for q in p)).first()
-        at_y, at_rate = np.array(got[: len(p)], float), np.array(got[len(p) :], float)
+        done = list(replay)
+        sums = state.mapInArrow(lambda batches, done=done: expected(batches, done), ", ".join(f"e{i} double" for i in range(2 * len(DOMAINS))))
+        got = np.array(sums.groupBy().sum().first(), float)
+        at_ahead, at_rate = got[: len(DOMAINS)], got[len(DOMAINS) :]
         if (np.abs(at_rate - goal) * scale).max() < tolerance:
             break
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        replay.append(((at_y - goal) * scale * scale / lipschitz, (t - 1) / after))
+        replay.append(((at_ahead - goal) * scale * scale / lipschitz, (t - 1) / after))
         t = after
         if len(replay) >= REPLAY:
-            state, replay = written(replayed(state), "rates"), []
-    return replayed(state).drop("__y")
+            state, replay = written(_with_rates(state, replay), "rates"), []
+    return _with_rates(state, replay).drop("ahead")
+
+
+def _replayed(b: pa.RecordBatch, steps: list) -> tuple[np.ndarray, ...]:
+    """(rate, ahead, tokens, posteriors) of a batch after the steps; ``ahead`` is where the next gradient is taken."""
+    rate, ahead = (b.column(c).to_numpy(zero_copy_only=False) for c in ("rate", "ahead"))
+    tokens = b.column("tokens").to_numpy(zero_copy_only=False).astype(float)
+    p = np.stack([b.column(f"p_{d}").to_numpy(zero_copy_only=False) for d in DOMAINS], 1)
+    for step, momentum in steps:
+        new = np.maximum(ahead - p @ step, 0)
+        rate, ahead = new, new + momentum * (new - rate)
+    return np.where(tokens > 0, rate, 1.0), np.where(tokens > 0, ahead, 1.0), tokens, p
+
+
+def _with_rates(state: DataFrame, steps: list) -> DataFrame:
+    def each(batches):
+        for b in batches:
+            rate, ahead, _, _ = _replayed(b, steps)
+            yield pa.record_batch([*(b.column(c) for c in b.schema.names if c not in ("rate", "ahead")), pa.array(rate), pa.array(ahead)], [*(c for c in b.schema.names if c not in ("rate", "ahead")), "rate", "ahead"])
+
+    return state.mapInArrow(each, state.schema)
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, **kw) -> DataFrame:
