@@ -133,10 +133,11 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
 def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = TOLERANCE, total: float | None = None) -> DataFrame:
     """``members`` with a column rate >= 0, by accelerated projected gradient from rate 1.
 
-    The objective is half the sum over domains of ((expected tokens - target) /
-    target)^2, the gradient is taken per token. A target of 0 is weighed as one of
-    0.1 % of the total. Stops when every domain is within ``tolerance`` of its target, or after
-    ``steps``. Domains that no document can supply stay short. Documents without
+    The objective is half the sum over domains of (expected tokens - target)^2 over
+    the domain's own curvature, so that rare domains converge as fast as common
+    ones; the gradient is taken per token. Stops when every domain is within
+    ``tolerance`` of its target (of 0.1 % of the total, if the target is less), or
+    after ``steps``. Domains that no document can supply stay short. Documents without
     tokens keep rate 1, as do all when there are no tokens or targets.
     """
     share = np.array([max(float(targets.get(d, 0)), 0) for d in DOMAINS])
@@ -146,8 +147,9 @@ def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tol
     if not everything or not share.sum() or not gram["n"]:
         return members.withColumn("rate", F.lit(1.0))
     goal = share / share.sum() * everything
-    scale = 1 / np.maximum(goal, 1e-3 * everything)
     m = np.array([[gram[f"g{i}_{j}"] for j in range(len(p))] for i in range(len(p))])
+    scale = 1 / np.sqrt(np.maximum(np.diag(m), 1e-12 * m.max()))
+    near = 1 / np.maximum(goal, 1e-3 * everything)
     # the largest curvature of the objective in the per-token metric
     lipschitz = float(np.linalg.eigvalsh(np.diag(scale) @ m @ np.diag(scale)).max())
     state = written(members.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0)), "rates")
@@ -164,7 +166,7 @@ def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tol
         sums = state.mapInArrow(lambda batches, done=done: expected(batches, done), ", ".join(f"e{i} double" for i in range(2 * len(DOMAINS))))
         got = np.array(sums.groupBy().sum().first(), float)
         at_ahead, at_rate = got[: len(DOMAINS)], got[len(DOMAINS) :]
-        if (np.abs(at_rate - goal) * scale).max() < tolerance:
+        if (np.abs(at_rate - goal) * near).max() < tolerance:
             break
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
         replay.append(((at_ahead - goal) * scale * scale / lipschitz, (t - 1) / after))
