@@ -68,7 +68,7 @@ def exact_dedup_path(spark: SparkSession, path: str, files_per_batch: int = 64,
     order = [F.col("doc_id").asc_nulls_last(), "file", "row"]
     same = Window.partitionBy("digest", "text").orderBy(*order)
     return (
-        docs.join(hits, "digest", "left_semi")
+        docs.join(hits.hint("merge"), "digest", "left_semi")  # one strategy at every size
         .select("doc_id", "digest", F.row_number().over(same).alias("nth"), F.first("doc_id").over(same).alias("duplicate_of"))
         .where("nth > 1")
         .select("doc_id", "duplicate_of", F.lower(F.hex("digest")).alias("digest"))
