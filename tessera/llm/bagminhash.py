@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     member = written(bucket.select("key", "node", hub.alias("hub")).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1").select("key", "node", "hub"), "buckets")
     star = member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     wanted = star.select(F.col("a").alias("id")).unionByName(star.select(F.col("b").alias("id"))).distinct()
-    bag = written(multisets(known.join(wanted, known["doc_id"] == wanted["id"], "left_semi")).dropDuplicates(["doc_id"]), "bags")
+    bag = written(multisets(known.join(wanted.hint("merge"), known["doc_id"] == wanted["id"], "left_semi")).dropDuplicates(["doc_id"]), "bags")
     first = written(_verified(star, bag), "verified")
     # nodes that aren't like their bucket's hub are compared with all its other nodes
     failed = first.where(F.col("similarity") < threshold).select(F.col("a").alias("hub"), F.col("b").alias("left"))
@@ -220,7 +220,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 def drop_near_duplicates(docs: DataFrame, **kw) -> DataFrame:
     """The documents, of each group only the one with the smallest doc_id; all columns. Of repeated rows of one doc_id all stay or go."""
     gone = near_duplicates(docs, **kw).where("doc_id <> group_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["__gone"], "left_anti")
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -171,10 +171,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WO
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents without a match; all columns. A document whose doc_id is null is judged as one with all that have none."""
-    bad = contamination(docs, benchmark, min_words).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__hit"]), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, benchmark_bytes: int = BENCHMARK_BYTES) -> DataFrame:
+    """The rows without a match; all columns. Every row is judged by its own text, where it lies."""
+    at = docs.columns.index("text")
+    for part in _parts(benchmark, benchmark_bytes):
+        raw, offsets = K.buffers(part["text"].combine_chunks())
+        sent = docs.sparkSession.sparkContext.broadcast((raw.copy(), offsets.copy()))
+
+        def sift(batches, sent=sent):
+            test = K.Words(*sent.value)
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                keep = np.ones(b.num_rows, bool)
+                for k, r, o in K.chunks(*K.buffers(b.column(at)), SHARD_BYTES):
+                    keep[longest_matches(K.Words(r, o), test, min_words)[:, 0] + k] = False
+                yield b.filter(pa.array(keep))
+
+        docs = docs.mapInArrow(sift, docs.schema)
+    return docs
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

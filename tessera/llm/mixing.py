@@ -3,8 +3,9 @@
 A classifier fitted on the labels table gives every document a posterior over
 domains. Nonnegative rates r minimise the squared relative distance between the
 expected domain tokens, sum of r * tokens * posterior, and the targets. Each step
-of projected gradient (accelerated) is one narrow pass and one small aggregate;
-rates live in tables of the shared folder, nothing per document reaches the
+of projected gradient (accelerated) is one narrow pass and one small aggregate
+over the table of posteriors; a document's rate follows from its posterior and
+the steps so far, so nothing per document is kept between steps or reaches the
 driver.
 """
 
@@ -27,8 +28,6 @@ LABELLED = 6000
 BUCKETS = 1 << 16
 STEPS = 60
 TOLERANCE = 1e-3
-#: Steps whose gradients are replayed from the last written rates.
-REPLAY = 20
 
 
 def features(raw: np.ndarray, offsets: np.ndarray, words: K.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -130,70 +129,62 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     return map_batches(narrow, each, "doc_id long, tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
 
 
-def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = TOLERANCE, total: float | None = None) -> DataFrame:
-    """``members`` with a column rate >= 0, by accelerated projected gradient from rate 1.
+def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = TOLERANCE) -> list[tuple[list[float], float]]:
+    """The steps of accelerated projected gradient from rate 1: (gradient step of each domain, momentum).
 
     The objective is half the sum over domains of (expected tokens - target)^2 over
     the domain's own curvature, so that rare domains converge as fast as common
-    ones; the gradient is taken per token. Stops when every domain is within
+    ones; the gradient is taken per token, so a document's next rate is a function
+    of its posterior and the steps alone. Stops when every domain is within
     ``tolerance`` of its target (of 0.1 % of the total, if the target is less), or
-    after ``steps``. Domains that no document can supply stay short. Documents without
-    tokens keep rate 1, as do all when there are no tokens or targets.
+    after ``steps``. Domains that no document can supply stay short. Without any
+    tokens or targets there are no steps and all rates stay 1.
     """
     share = np.array([max(float(targets.get(d, 0)), 0) for d in DOMAINS])
     p = [F.col(f"p_{d}") for d in DOMAINS]
     gram = members.agg(F.sum("tokens").alias("n"), *(F.sum(F.col("tokens") * a * b).alias(f"g{i}_{j}") for i, a in enumerate(p) for j, b in enumerate(p))).first()
-    everything = float(total if total is not None else gram["n"] or 0)
-    if not everything or not share.sum() or not gram["n"]:
-        return members.withColumn("rate", F.lit(1.0))
+    everything = float(gram["n"] or 0)
+    if not everything or not share.sum():
+        return []
     goal = share / share.sum() * everything
     m = np.array([[gram[f"g{i}_{j}"] for j in range(len(p))] for i in range(len(p))])
     scale = 1 / np.sqrt(np.maximum(np.diag(m), 1e-12 * m.max()))
     near = 1 / np.maximum(goal, 1e-3 * everything)
     # the largest curvature of the objective in the per-token metric
     lipschitz = float(np.linalg.eigvalsh(np.diag(scale) @ m @ np.diag(scale)).max())
-    state = written(members.withColumn("rate", F.lit(1.0)).withColumn("ahead", F.lit(1.0)), "rates")
-    replay: list[tuple[np.ndarray, float]] = []
+    done: list[tuple[list[float], float]] = []
     t = 1.0
 
     def expected(batches, steps):
         for b in batches:
-            rate, ahead, tokens, p = _replayed(b, steps)
+            tokens, p = _members(b)
+            rate, ahead = replay(p, tokens, steps)
             yield pa.record_batch([pa.array([x]) for x in [*(ahead * tokens) @ p, *(rate * tokens) @ p]], [f"e{i}" for i in range(2 * len(DOMAINS))])
 
     for _ in range(steps):
-        done = list(replay)
-        sums = state.mapInArrow(lambda batches, done=done: expected(batches, done), ", ".join(f"e{i} double" for i in range(2 * len(DOMAINS))))
+        sums = members.mapInArrow(lambda batches, now=list(done): expected(batches, now), ", ".join(f"e{i} double" for i in range(2 * len(DOMAINS))))
         got = np.array(sums.groupBy().sum().first(), float)
         at_ahead, at_rate = got[: len(DOMAINS)], got[len(DOMAINS) :]
         if (np.abs(at_rate - goal) * near).max() < tolerance:
             break
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        replay.append(((at_ahead - goal) * scale * scale / lipschitz, (t - 1) / after))
+        done.append((((at_ahead - goal) * scale * scale / lipschitz).tolist(), (t - 1) / after))
         t = after
-        if len(replay) >= REPLAY:
-            state, replay = written(_with_rates(state, replay), "rates"), []
-    return _with_rates(state, replay).drop("ahead")
+    return done
 
 
-def _replayed(b: pa.RecordBatch, steps: list) -> tuple[np.ndarray, ...]:
-    """(rate, ahead, tokens, posteriors) of a batch after the steps; ``ahead`` is where the next gradient is taken."""
-    rate, ahead = (b.column(c).to_numpy(zero_copy_only=False) for c in ("rate", "ahead"))
-    tokens = b.column("tokens").to_numpy(zero_copy_only=False).astype(float)
+def _members(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     p = np.stack([b.column(f"p_{d}").to_numpy(zero_copy_only=False) for d in DOMAINS], 1)
-    for step, momentum in steps:
-        new = np.maximum(ahead - p @ step, 0)
-        rate, ahead = new, new + momentum * (new - rate)
-    return np.where(tokens > 0, rate, 1.0), np.where(tokens > 0, ahead, 1.0), tokens, p
+    return b.column("tokens").to_numpy(zero_copy_only=False).astype(float), p
 
 
-def _with_rates(state: DataFrame, steps: list) -> DataFrame:
-    def each(batches):
-        for b in batches:
-            rate, ahead, _, _ = _replayed(b, steps)
-            yield pa.record_batch([*(b.column(c) for c in b.schema.names if c not in ("rate", "ahead")), pa.array(rate), pa.array(ahead)], [*(c for c in b.schema.names if c not in ("rate", "ahead")), "rate", "ahead"])
-
-    return state.mapInArrow(each, state.schema)
+def replay(p: np.ndarray, tokens: np.ndarray, steps: list) -> tuple[np.ndarray, np.ndarray]:
+    """(rate, the place where the next gradient is taken) of each document after the steps; 1 for one without tokens."""
+    rate = ahead = np.ones(len(p))
+    for step, momentum in steps:
+        new = np.maximum(ahead - p @ np.array(step), 0)
+        rate, ahead = new, new + momentum * (new - rate)
+    return np.where(tokens > 0, rate, 1.0), np.where(tokens > 0, ahead, 1.0)
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, **kw) -> DataFrame:
@@ -204,16 +195,43 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     carried, other columns are not read.
     """
     members = written(posteriors(docs, fit(docs, labels)), "posteriors")
-    return solve(members, targets, **kw).withColumn("rate", F.round("rate", 6))
+    steps = solve(members, targets, **kw)
+
+    def each(b: pa.RecordBatch) -> pa.RecordBatch:
+        tokens, p = _members(b)
+        return pa.record_batch([*b.columns, pa.array(np.round(replay(p, tokens, steps)[0], 6))], [*b.schema.names, "rate"])
+
+    return map_batches(members, each, "doc_id long, tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS) + ", rate double")
 
 
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, **kw) -> DataFrame:
-    """The documents, each as often as its rate says: the whole part always, one more if the hash of the doc_id falls below the fraction; all columns."""
-    rates = mixing_rates(docs, labels, targets, **kw).groupBy("doc_id").agg(F.max("rate").alias("__rate")).withColumnRenamed("doc_id", "__id")
-    draw = F.pmod(F.xxhash64(F.lit("mix"), "__id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    times = rates.select("__id", (F.floor("__rate") + (draw < F.col("__rate") - F.floor("__rate")).cast("long")).cast("int").alias("__times")).where("__times > 0")
-    joined = docs.join(times, docs["doc_id"].eqNullSafe(times["__id"]))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*(docs[c] for c in docs.columns))
+    """The documents, each as often as its rate says: the whole part of the rate always, once more if a hash of the doc_id falls below the fraction.
+
+    All columns stay. Texts never move: the last pass works out each row's rate
+    again from its posterior and the steps.
+    """
+    model = fit(docs, labels)
+    steps = solve(written(posteriors(docs, model), "posteriors"), targets, **kw)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    drawn = docs.withColumn("__draw", F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    at = names.index("text")
+
+    def take(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            raw, offsets = K.buffers(b.column(at))
+            found = [sent.value.posterior(r, o) for _, r, o in K.chunks(raw, offsets)]
+            p, n = np.round(np.concatenate([x for x, _ in found]), 9), np.concatenate([x for _, x in found])
+            rate = np.round(replay(p, n.astype(float), steps)[0], 6)
+            times = np.floor(rate) + (b.column(len(names)).to_numpy(zero_copy_only=False) < rate - np.floor(rate))
+            # a few rows at a time: copies of long texts shouldn't pile up in one batch
+            where = np.repeat(np.arange(b.num_rows), times.astype(np.int64))
+            for k in range(0, len(where), 2000):
+                yield pa.record_batch(b.columns[:-1], names=b.schema.names[:-1]).take(pa.array(where[k : k + 2000]))
+
+    return drawn.mapInArrow(take, docs.schema)
 
 
 def op6_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
