@@ -1,14 +1,16 @@
 """The queries of this subpackage and their SQL."""
 
-from . import bagminhash, contamination, exact_stream, language, line_runs, mixing, token_orc
+from . import bagminhash, bpe_count, contamination, exact_stream, language, line_runs, mixing, suffix_runs, token_orc
 
 QUERIES = {
     "op1_line_dedup": line_runs.op1_line_dedup,
+    "op2_token_counts": bpe_count.op2_token_counts,
     "op3_token_orc": token_orc.op3_token_orc,
+    "op4_suffix_dedup": suffix_runs.op4_suffix_dedup,
     "op5_exact_dedup": exact_stream.op5_exact_dedup,
     "op6_mixing_rates": mixing.op6_mixing_rates,
     "op7_language_id": language.op7_language_id,
     "op9_decontamination": contamination.op9_decontamination,
     "op10_minhash_near_dedup": bagminhash.op10_minhash_near_dedup,
 }
-SQL = line_runs.SQL | exact_stream.SQL | contamination.SQL
+SQL = line_runs.SQL | exact_stream.SQL | contamination.SQL | suffix_runs.SQL
