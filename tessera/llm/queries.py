@@ -1,6 +1,6 @@
 """The queries of this subpackage and their SQL."""
 
-from . import bagminhash, bpe_count, contamination, exact_stream, language, line_runs, mixing, suffix_runs, token_orc
+from . import bagminhash, bpe_count, contamination, exact_stream, language, line_runs, mincut_html, mixing, suffix_runs, token_orc
 
 QUERIES = {
     "op1_line_dedup": line_runs.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_exact_dedup": exact_stream.op5_exact_dedup,
     "op6_mixing_rates": mixing.op6_mixing_rates,
     "op7_language_id": language.op7_language_id,
+    "op8_html_mincut": mincut_html.op8_html_mincut,
     "op9_decontamination": contamination.op9_decontamination,
     "op10_minhash_near_dedup": bagminhash.op10_minhash_near_dedup,
 }
