@@ -159,11 +159,11 @@ def composite(similarity: Column, quality: Column, diversity: Column) -> Column:
 
 
 def compare_selections(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """(only_a, only_b, both, jaccard) of two selections' distinct keys."""
+    """(only_a, only_b, in_both, jaccard) of two selections' distinct keys."""
     x, y = a.select(key).distinct().withColumn("__a", F.lit(1)), b.select(key).distinct().withColumn("__b", F.lit(1))
     both = x.join(y, key, "full")
-    n = both.agg(F.count_if(F.expr("__b IS NULL")).alias("only_a"), F.count_if(F.expr("__a IS NULL")).alias("only_b"), F.count_if(F.expr("__a = 1 AND __b = 1")).alias("both"), F.count(F.lit(1)).alias("n"))
-    return n.select("only_a", "only_b", "both", F.round(F.col("both") / F.greatest("n", F.lit(1)), 6).alias("jaccard"))
+    n = both.agg(F.count_if(F.expr("__b IS NULL")).alias("only_a"), F.count_if(F.expr("__a IS NULL")).alias("only_b"), F.count_if(F.expr("__a = 1 AND __b = 1")).alias("in_both"), F.count(F.lit(1)).alias("n"))
+    return n.select("only_a", "only_b", "in_both", F.round(F.col("in_both") / F.greatest("n", F.lit(1)), 6).alias("jaccard"))
 
 
 def score_histogram(df: DataFrame, score: str, width: float = 0.1) -> DataFrame:

@@ -102,7 +102,7 @@ def load(kind: type, path: str | None = None, **overrides):
                 if not line.strip() or line.lstrip().startswith("#"):
                     continue
                 if line.lstrip().startswith("- ") and key:
-                    found[key] = (*(found[key] or ()), scalar(line.lstrip()[2:]))
+                    found[key] = (*(found[key] or ()), scalar(line.lstrip()[2:].split(" #")[0]))
                 else:
                     key, _, value = line.partition(":")
                     key = key.strip()
