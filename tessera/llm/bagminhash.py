@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import id_text, map_batches, table, written
+from .common import fresh, id_text, map_batches, table, written
 
 SHINGLE = 2
 BANDS = 25
@@ -219,8 +219,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
 
 def drop_near_duplicates(docs: DataFrame, **kw) -> DataFrame:
     """The documents, of each group only the one with the smallest doc_id; all columns. Of repeated rows of one doc_id all stay or go."""
-    gone = near_duplicates(docs, **kw).where("doc_id <> group_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["__gone"], "left_anti")
+    mark = fresh(docs, "__gone")
+    gone = near_duplicates(docs, **kw).where("doc_id <> group_id").select(F.col("doc_id").alias(mark))
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone[mark], "left_anti")
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

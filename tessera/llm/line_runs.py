@@ -25,7 +25,7 @@ def _trim(line: Column) -> Column:
 
 
 class SortedRuns:
-    """The levels. ``add`` is one batch; ``rows`` are all first occurrences so far (h1, h2, id, pos)."""
+    """The levels. ``add`` is one batch; ``rows`` are all first occurrences so far (h1, h2, id, t, pos)."""
 
     def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
@@ -63,13 +63,15 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFrame:
     Lines are compared without surrounding spaces, tabs and CR. Of equal lines the
     first by (doc_id, line number) stays, everywhere in the corpus; a null doc_id
     comes last. Blank lines always stay and a text's other lines keep their order.
-    Rows of one doc_id count as one document: a repeated row gets the same verdict.
+    Rows of equal doc_id and text count as one document: a repeated row gets the same
+    verdict. Rows of one doc_id (or without any) but other texts are told apart and
+    ordered by a hash of the text.
     A null text stays null with 0 lines. Batches are doc_id ranges of about equal
     size; the result doesn't depend on their number.
     """
     spark = docs.sparkSession
-    base = id_text(docs).withColumn("key", F.coalesce("doc_id", F.lit(LAST)))
-    cuts = base.select("key").approxQuantile("key", [i / batches for i in range(1, batches)], 0.01)
+    base = id_text(docs).withColumn("key", F.coalesce("doc_id", F.lit(LAST))).withColumn("t", F.xxhash64("text"))
+    cuts = base.select("key").approxQuantile("key", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     edges = [None, *sorted({int(c) for c in cuts if c < 2**62}), None]
     runs = SortedRuns(spark, fanout)
     for low, high in zip(edges, edges[1:], strict=False):
@@ -78,11 +80,11 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFrame:
             part = part.where(F.col("key") > low)
         if high is not None:
             part = part.where(F.col("key") <= high)
-        lines = part.select("key", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("key", "pos", _trim(F.col("line")).alias("line")).where("line != ''")
+        lines = part.select("key", "t", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("key", "t", "pos", _trim(F.col("line")).alias("line")).where("line != ''")
         # two independent 64-bit hashes: 128 bits keep collisions out of reach at 10^12 lines
-        firsts = lines.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2")).agg(F.min(F.struct("key", "pos")).alias("first"))
-        runs.add(firsts.select("h1", "h2", F.col("first.key").alias("id"), F.col("first.pos").alias("pos")))
-    kept = runs.rows().groupBy("id").agg(F.collect_list("pos").alias("kept"))
+        firsts = lines.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2")).agg(F.min(F.struct("key", "t", "pos")).alias("first"))
+        runs.add(firsts.select("h1", "h2", F.col("first.key").alias("id"), F.col("first.t").alias("t"), F.col("first.pos").alias("pos")))
+    kept = runs.rows().groupBy("id", "t").agg(F.collect_list("pos").alias("kept"))
     lines = F.split("text", "\n")
 
     def rebuilt(s: Column) -> Column:
@@ -94,7 +96,7 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFrame:
     n = F.coalesce(F.size(F.filter(lines, lambda x: _trim(x) != "")), F.lit(0))
     n = F.when(F.col("text").isNull(), 0).otherwise(n)
     k = F.coalesce(F.size("kept"), F.lit(0))
-    return base.join(kept.withColumnRenamed("id", "key"), "key", "left").select(
+    return base.join(kept.withColumnRenamed("id", "key"), ["key", "t"], "left").select(
         "doc_id", F.when(F.col("text").isNull() | (n == k), F.col("text")).otherwise(text).alias("text"), n.cast("long").alias("n_lines"), (n - k).cast("long").alias("n_removed")
     )
 

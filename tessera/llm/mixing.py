@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import map_batches, table, written
+from .common import fresh, map_batches, table, written
 
 #: Domains by (quality, toxic); (1, 1) is merged with (0, 1), as toxic text is one domain.
 DOMAINS = ("good", "poor", "toxic")
@@ -214,7 +214,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
     steps = solve(written(posteriors(docs, model), "posteriors"), targets, **kw)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
-    drawn = docs.withColumn("__draw", F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    drawn = docs.withColumn(fresh(docs, "__draw"), F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
     at = names.index("text")
 
     def take(batches):

@@ -73,7 +73,7 @@ def run_of(symbols: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.nd
     o = np.lexsort(pairs[::-1])
     symbols, doc, pos = symbols[o], doc[o], pos[o]
     same = symbols[1:] == symbols[:-1]
-    lcp = np.r_[0, np.minimum.accumulate(same, axis=1).sum(1)].astype(np.uint8)
+    lcp = np.r_[0, np.minimum.accumulate(same, axis=1).sum(1)].astype(np.uint8)[: len(symbols)]
     new = np.flatnonzero(lcp < symbols.shape[1])
     return symbols[new], lcp[new], np.diff(np.r_[new, len(symbols)]).astype(np.int32), doc, pos
 
@@ -181,8 +181,9 @@ def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Data
     the same; every occurrence is returned, so a passage's removal is
     ``doc_id > first_doc_id``; first_doc_id is the smallest document among the
     occurrences of the span's windows. Texts of fewer words, null and empty texts
-    have none. Rows with a null doc_id count as one document after all others and
-    are returned with null ids; a repeated row is a copy.
+    have none. Rows with a null doc_id serve as occurrences alone: nothing could name
+    their spans, so none is returned. A repeated row is a copy; other rows of one
+    doc_id are one document.
     """
     texts = id_text(docs).where("text IS NOT NULL").select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text", F.xxhash64("text").alias("t"))
     buckets = max(1, -(-text_bytes(texts) // bucket_bytes))
@@ -307,8 +308,8 @@ def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Data
                     extra[k].append(v)
         keep = ~np.isin(spans[0], np.array(whole, np.int64))
         cols = [np.concatenate([s[keep], *e]).astype(np.int64) for s, e in zip(spans, extra, strict=True)]
-        null = lambda x: pa.array(x, mask=x == LAST)
-        return pa.table([null(cols[0]), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32)), null(cols[3])], ["doc_id", "start_word", "end_word", "first_doc_id"])
+        cols = [c[cols[0] != LAST] for c in cols]
+        return pa.table([pa.array(cols[0]), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32)), pa.array(cols[3])], ["doc_id", "start_word", "end_word", "first_doc_id"])
 
     merged = sorted_runs.groupBy("bucket").applyInArrow(merge_runs, shape)
     return merged.groupBy("bucket").applyInArrow(join_windows, "doc_id long, start_word int, end_word int, first_doc_id long")
