@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.jsonl import dense_ordinal
+
 
 def draw(key: Column, seed: int = 42) -> Column:
     """A uniform hexadecimal string by key and seed (MD5, so that other engines can agree)."""
@@ -67,12 +69,10 @@ def hash_split(df: DataFrame, key: str, share: float, seed: int = 42, name: str
 
 
 def ordered_split(df: DataFrame, share: float, order: str, name: str = "split") -> DataFrame:
-    """The first share of the rows in order is val: one count, one bounded top-k and a comparison with its last key."""
+    """The first share of the rows in order is val: places by a range partitioning, so no task or driver holds the share."""
     n = int(df.count() * share)
-    if not n:
-        return df.withColumn(name, F.lit("train"))
-    edge = df.select(order).orderBy(order).limit(n).agg(F.max(order)).first()[0]
-    return df.withColumn(name, F.when(F.col(order) <= F.lit(edge), "val").otherwise("train"))
+    placed = dense_ordinal(df, [order], "__place")
+    return placed.withColumn(name, F.when(F.col("__place") < n, "val").otherwise("train")).drop("__place")
 
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

@@ -121,7 +121,8 @@ def best_targets(candidates: DataFrame, targets: DataFrame, cand_vec: str, targe
         one = (rows if parts == 1 else rows.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == k)).orderBy("i").toArrow()
         if not one.num_rows:
             continue
-        matrix = np.array(one["v"].to_pylist(), float)
+        # straight from the Arrow buffer: no Python object for each number
+        matrix = one["v"].combine_chunks().flatten().to_numpy().reshape(one.num_rows, -1).astype(float)
         sent = spark.sparkContext.broadcast((matrix, one["i"].to_pylist()))
 
         udf = F.pandas_udf(_scorer(sent, normalized), f"score double, id {id_type}")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .shared import materialised
+
 #: What a scan makes of a line: blank lines and bad JSON are ignored, counted or an error.
 MODES = ("tolerant", "strict", "semi", "skip")
 
@@ -94,9 +96,11 @@ def dense_ordinal(df: DataFrame, order: list[str], name: str = "row_id", parts:
     """With the row's 0-based place in the order.
 
     A range partitioning sorts in parallel; the partitions' sizes (one number each)
-    are summed and joined back, so no single task sees all rows.
+    are summed and joined back, so no single task sees all rows. The partitioned
+    rows are written once: its bounds are sampled, so working them out twice could
+    give two partitionings.
     """
-    sort = df.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    sort = materialised(df.repartitionByRange(*([parts] if parts else []), *order).withColumn("__p", F.spark_partition_id()), "ordinal")
     sizes = sort.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))).select("__p", F.coalesce("__before", F.lit(0)).alias("__before"))
     local = F.row_number().over(Window.partitionBy("__p").orderBy(*order)) - 1

@@ -70,8 +70,9 @@ def test_arrays_tsv_vocabulary(spark, tmp_path):
 
 
 def test_dense_ordinal(spark):
-    df = spark.range(100).select((F.col("id") * 7 % 100).alias("x"))
+    df = spark.range(100).select((F.col("id") * 7 % 100).alias("x"), F.repeat(F.lit("t"), F.col("id").cast("int")).alias("t"))
     assert all(r.row_id == r.x for r in jsonl.dense_ordinal(df, ["x"]).collect())
+    assert jsonl.dense_ordinal(df.limit(0), ["x"]).count() == 0
 
 
 def test_sinks(spark, tmp_path):
