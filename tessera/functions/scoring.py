@@ -99,4 +99,4 @@ def weighted_reward(parts: dict[str, tuple[Column, float]]) -> Column:
 
 def reasoning_format(response: Column) -> Column:
     """1 if the response is <think>..</think><answer>..</answer>, neither spanning lines, to its end."""
-    return F.when(response.rlike("^<think>.*?</think><answer>.*?</answer>$"), 1.0).otherwise(0.0)
+    return F.when(response.rlike("^" + "".join(f"<{t}>.*?</{t}>" for t in ("think", "answer")) + "$"), 1.0).otherwise(0.0)

@@ -41,7 +41,7 @@ def strip(text: Column) -> Column:
 def tidy(folded: Column) -> Column:
     """What ``normalize`` does after decoding and NFKC: tags, control and zero-width characters, spaces, lines."""
     t = F.regexp_replace(folded, "<[^>]+>", " ")
-    t = F.regexp_replace(t, r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F​﻿]", "")
+    t = F.regexp_replace(t, r"[\x{FEFF}\x{200B}\x7F\x0E-\x1F\x0B\x0C\x00-\x08]", "")
     t = F.regexp_replace(t, r"[ \t\r]+", " ")
     t = F.regexp_replace(t, r"[\x{85}\x{2028}\x{2029}]", "\n")
     t = F.regexp_replace(t, r"(?U)[\s&&[^\n]]*\n[\s&&[^\n]]*", "\n")

@@ -118,7 +118,7 @@ def content_length_stats(spark, sf_dir):
 
 
 _TIDY = "coalesce(html, '')"
-for _p, _r in ((r"<[^>]+>", " "), (r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f\x{200b}\x{feff}]", ""), (r"[ \t\r]+", " "), (r"[\x{85}\x{2028}\x{2029}]", "\n"), (_S.replace(r"\n", "") + "*\\n" + _S.replace(r"\n", "") + "*", "\n"), (r"\n{3,}", "\n\n")):
+for _p, _r in ((r"<[^>]+>", " "), (r"[\x{feff}\x{200b}\x7f\x0e-\x1f\x0b\x0c\x00-\x08]", ""), (r"[ \t\r]+", " "), (r"[\x{85}\x{2028}\x{2029}]", "\n"), (_S.replace(r"\n", "") + "*\\n" + _S.replace(r"\n", "") + "*", "\n"), (r"\n{3,}", "\n\n")):
     _TIDY = f"regexp_replace({_TIDY}, '{_p}', '{_r}', 'g')"
 
 
@@ -140,7 +140,7 @@ def collapse_spaces(spark, sf_dir):
 
 
 _REPAIR_SQL = """
-WITH k AS (SELECT conv_id, turn, CASE WHEN role IN ('human', 'user', '患者', '病人') THEN 'human' WHEN role IN ('gpt', 'assistant', 'doctor', '医生', '客服') THEN 'gpt' END AS role, text FROM conversations
+WITH k AS (SELECT conv_id, turn, CASE WHEN role IN ('病人', '患者', 'user', 'human') THEN 'human' WHEN role IN ('客服', '医生', 'doctor', 'assistant', 'gpt') THEN 'gpt' END AS role, text FROM conversations
 ), i AS (SELECT *, CASE WHEN lag(role) OVER (PARTITION BY conv_id ORDER BY turn) = role THEN 0 ELSE 1 END AS opens FROM k WHERE role IS NOT NULL AND text <> ''
 ), s AS (SELECT *, sum(opens) OVER (PARTITION BY conv_id ORDER BY turn) AS island FROM i
 ), j AS (SELECT conv_id, island, role, string_agg(text, chr(10) ORDER BY turn) AS text FROM s GROUP BY ALL

@@ -10,14 +10,14 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Cleaning:
-    question_fields: tuple[str, ...] = ("question", "query", "prompt", "ask", "title")
-    answer_fields: tuple[str, ...] = ("answer", "response", "output", "completion", "reply")
+    question_fields: tuple[str, ...] = tuple("question query prompt ask title".split())
+    answer_fields: tuple[str, ...] = tuple("answer response output completion reply".split())
     instruction_fields: tuple[str, ...] = ("instruction",)
     input_fields: tuple[str, ...] = ("input",)
     output_fields: tuple[str, ...] = ("output",)
     conversation_fields: tuple[str, ...] = ("conversations", "messages")
-    user_roles: tuple[str, ...] = ("human", "user", "患者", "病人")
-    assistant_roles: tuple[str, ...] = ("gpt", "assistant", "doctor", "医生", "客服")
+    user_roles: tuple[str, ...] = tuple("human user 患者 病人".split())
+    assistant_roles: tuple[str, ...] = tuple("gpt assistant doctor 医生 客服".split())
     ad_keywords: tuple[str, ...] = tuple("代理 免费咨询 加微信 微信号 扫码 推广 私聊 联系电话".split())
     contact_patterns: tuple[str, ...] = (
         r"1[3-9][0-9]{9}",
@@ -38,7 +38,7 @@ class Cleaning:
 
 @dataclass(frozen=True)
 class Similarity:
-    template: str = "指令：{instruction}\n问题：{input}\n回答：{output}"
+    template: str = "\n".join(f"{label}：{{{name}}}" for label, name in zip("指令 问题 回答".split(), "instruction input output".split(), strict=True))
     #: True leaves backslash-n in the template as two characters.
     literal_escapes: bool = False
     dim: int = 384

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from tessera.streaming.clean import clean_stream
 
 
 def put(path, lines):
-    path.parent.mkdir(parents=True, exist_ok=True)
+    os.makedirs(path.parent, exist_ok=True)
     path.write_text("\n".join(x if isinstance(x, str) else json.dumps(x, ensure_ascii=False) for x in lines) + "\n", encoding="utf-8")
 
 
-GREETING = [{"from": "gpt", "value": "hello"}, {"from": "human", "value": "one"}, {"from": "human", "value": "two"}, {"from": "gpt", "value": "fine answer"}]
+GREETING = [{"from": r, "value": v} for r, v in (("gpt", "hello"), ("human", "one"), ("human", "two"), ("gpt", "fine answer"))]
 
 
 def test_smoke_corpus(spark, tmp_path):

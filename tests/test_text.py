@@ -29,7 +29,7 @@ def test_normalize_cases(spark):
 def plain_normalize(t):
     t = unicodedata.normalize("NFKC", html.unescape(t))
     t = re.sub("<[^>]+>", " ", t)
-    t = re.sub("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]", "", t).replace("​", "").replace("﻿", "")
+    t = re.sub("[\x7f\x0e-\x1f\x0b\x0c\x00-\x08]", "", t).replace("​", "").replace("﻿", "")
     t = re.sub("[ \t\r]+", " ", t)
     t = "\n".join(x.strip() for x in t.splitlines())
     return re.sub("\n{3,}", "\n\n", t).strip()
