@@ -14,7 +14,7 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     Only where that setting is unset, as in tests, a temporary folder becomes the checkpoint folder.
     """
     spark = df.sparkSession
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
         base = spark.sparkContext.getCheckpointDir()
