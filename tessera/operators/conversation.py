@@ -66,7 +66,7 @@ def repair_turns(turns: DataFrame, cfg: Cleaning = Cleaning(), normalize=None) -
     known = turns.select("conv_id", "turn", role_of(F.col("role"), cfg).alias("role"), norm(F.coalesce("text", F.lit(""))).alias("text")).where("role IS NOT NULL AND text <> ''")
     by = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     islands = known.withColumn("n", F.struct("turn", F.row_number().over(by).alias("i"))).withColumn("opens", F.coalesce(F.lag("role").over(by) != F.col("role"), F.lit(True)).cast("int")).withColumn("island", F.sum("opens").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = islands.groupBy("conv_id", "island", "role").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "text"))), lambda s: s["text"]), "\n").alias("text")).withColumn("text", norm(F.col("text")))
+    joined = islands.groupBy("conv_id", "island", "role").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "text"))), lambda s: s["text"]), "\n").alias("text")).withColumn("text", norm(F.col("text")))
     chat = Window.partitionBy("conv_id")
     bounded = joined.withColumn("low", F.min(F.when(F.col("role") == "human", F.col("island"))).over(chat)).withColumn("high", F.max(F.when(F.col("role") == "gpt", F.col("island"))).over(chat)).where("island >= low AND island <= high")
     return bounded.where("high > low").select("conv_id", (F.col("island") - F.col("low")).cast("int").alias("turn"), "role", "text")

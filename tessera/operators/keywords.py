@@ -21,11 +21,13 @@ def ranked_terms(text: Column, cfg: Cases = Cases(), borders: str = BORDERS) ->
     stop = F.array(*map(F.lit, cfg.stopwords)).cast("array<string>")
     good = F.filter(pieces, lambda t: F.length(t).between(2, 16) & ~t.rlike("^[0-9]+$") & ~F.array_contains(stop, t))
     hints = F.filter(F.array(*map(F.lit, cfg.hints)).cast("array<string>"), lambda h: F.contains(F.coalesce(text, F.lit("")), h))
-    terms = F.transform(F.concat(good, F.array_except(hints, good)), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+    # arrays of one element bind what lambdas use more than once, else it would be worked out again each time
+    both = F.transform(F.array(good), lambda g: F.concat(g, F.array_except(hints, g)))[0]
+    terms = F.transform(both, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
     # equal terms lie together once sorted, so a run's length is a count and its first entry the first place;
-    # arrays of one element bind what lambdas use, else each element would work it out again
-    ordered = F.transform(F.array(F.array_sort(terms)), _runs)[0]
-    ranked = F.array_sort(F.transform(F.array(ordered), _counted)[0])
+    # sort_array compares natively, array_sort by an interpreted lambda
+    ordered = F.transform(F.array(F.sort_array(terms)), _runs)[0]
+    ranked = F.sort_array(F.transform(F.array(ordered), _counted)[0])
     return F.transform(F.slice(ranked, 1, cfg.keywords), lambda r: r["x"])
 
 

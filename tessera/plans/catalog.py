@@ -69,7 +69,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(conv_id, conversations): one row a chat, turns in order."""
-    t = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("from"), F.col("text").alias("value")))).alias("t"))
+    t = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.col("role").alias("from"), F.col("text").alias("value")))).alias("t"))
     return t.select("conv_id", F.transform("t", lambda m: F.struct(m["from"].alias("from"), m["value"].alias("value"))).alias("conversations"))
 
 
@@ -353,7 +353,7 @@ def _targets(spark, sf_dir):
     """One target a label: the mean of its vectors."""
     e = table(spark, sf_dir, "embeddings").select("label", F.posexplode("embedding").alias("i", "x"))
     m = e.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    return m.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
+    return m.groupBy("label").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("v"))
 
 
 def _best(spark, sf_dir):
