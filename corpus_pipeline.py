@@ -28,8 +28,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are taken as often as their rates say."""
-    return mixing.mixed(docs, table(spark, sf_dir, "labels"))
+    """Documents are taken as often as their rates say; the targets are shares of the BPE tokens that the next stage writes."""
+    return mixing.mixed(docs, table(spark, sf_dir, "labels"), count="bpe_tokens")
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,10 @@ of projected gradient (accelerated) is one narrow pass and one small aggregate
 over the table of posteriors; a document's rate follows from its posterior and
 the steps so far, so nothing per document is kept between steps or reaches the
 driver.
+
+Tokens are counted twice: as words of ``kernel`` (``tokens``) and as BPE tokens
+(``bpe_tokens``). Words per BPE token differ by domain, so each count has its own
+rates; only those by BPE tokens meet the targets in what ``token_orc`` writes.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .common import fresh, map_batches, table, written
+from .token_orc import VOCABULARY, encoder
 
 #: Domains by (quality, toxic); (1, 1) is merged with (0, 1), as toxic text is one domain.
 DOMAINS = ("good", "poor", "toxic")
@@ -114,8 +119,12 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> Classifier
     return Classifier(weights, style)
 
 
-def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
-    """(doc_id, tokens, p): tokens are words as in ``kernel``; a text without words has 0 and the prior of the style features."""
+def _schema(*more: str) -> str:
+    return ", ".join(["doc_id long, tokens long, bpe_tokens long", *(f"p_{d} double" for d in DOMAINS), *more])
+
+
+def posteriors(docs: DataFrame, model: Classifier, vocabulary: str = VOCABULARY) -> DataFrame:
+    """(doc_id, tokens, bpe_tokens, p): tokens are words as in ``kernel``, bpe_tokens those of the vocabulary, as ``bpe_count`` counts them; a text without words has 0 tokens and the prior of the style features."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     k = len(DOMAINS)
 
@@ -123,13 +132,15 @@ def posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
         raw, offsets = K.buffers(b.column("text"))
         found = [sent.value.posterior(r, o) for _, r, o in K.chunks(raw, offsets)]
         p, n = np.round(np.concatenate([x for x, _ in found]), 9), np.concatenate([x for _, x in found])
-        return pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64()), *(pa.array(p[:, d]) for d in range(k))], ["doc_id", "tokens", *(f"p_{d}" for d in DOMAINS)])
+        enc = encoder(vocabulary)
+        bpe = [len(enc.encode_ordinary(x.as_py())) if x.is_valid else 0 for x in b.column("text")]
+        return pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(bpe, pa.int64()), *(pa.array(p[:, d]) for d in range(k))], ["doc_id", "tokens", "bpe_tokens", *(f"p_{d}" for d in DOMAINS)])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return map_batches(narrow, each, "doc_id long, tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
+    return map_batches(narrow, each, _schema())
 
 
-def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = TOLERANCE) -> list[tuple[list[float], float]]:
+def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tolerance: float = TOLERANCE, count: str = "tokens") -> list[tuple[list[float], float]]:
     """The steps of accelerated projected gradient from rate 1: (gradient step of each domain, momentum).
 
     The objective is half the sum over domains of (expected tokens - target)^2 over
@@ -138,11 +149,12 @@ def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tol
     of its posterior and the steps alone. Stops when every domain is within
     ``tolerance`` of its target (of 0.1 % of the total, if the target is less), or
     after ``steps``. Domains that no document can supply stay short. Without any
-    tokens or targets there are no steps and all rates stay 1.
+    tokens or targets there are no steps and all rates stay 1. ``count`` names the
+    column of ``members`` that the shares are of.
     """
     share = np.array([max(float(targets.get(d, 0)), 0) for d in DOMAINS])
     p = [F.col(f"p_{d}") for d in DOMAINS]
-    gram = members.agg(F.sum("tokens").alias("n"), *(F.sum(F.col("tokens") * a * b).alias(f"g{i}_{j}") for i, a in enumerate(p) for j, b in enumerate(p))).first()
+    gram = members.agg(F.sum(count).alias("n"), *(F.sum(F.col(count) * a * b).alias(f"g{i}_{j}") for i, a in enumerate(p) for j, b in enumerate(p))).first()
     everything = float(gram["n"] or 0)
     if not everything or not share.sum():
         return []
@@ -157,7 +169,7 @@ def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tol
 
     def expected(batches, steps):
         for b in batches:
-            tokens, p = _members(b)
+            tokens, p = _members(b, count)
             rate, ahead = replay(p, tokens, steps)
             yield pa.record_batch([pa.array([x]) for x in [*(ahead * tokens) @ p, *(rate * tokens) @ p]], [f"e{i}" for i in range(2 * len(DOMAINS))])
 
@@ -173,9 +185,9 @@ def solve(members: DataFrame, targets: dict[str, float], steps: int = STEPS, tol
     return done
 
 
-def _members(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _members(b: pa.RecordBatch, count: str) -> tuple[np.ndarray, np.ndarray]:
     p = np.stack([b.column(f"p_{d}").to_numpy(zero_copy_only=False) for d in DOMAINS], 1)
-    return b.column("tokens").to_numpy(zero_copy_only=False).astype(float), p
+    return b.column(count).to_numpy(zero_copy_only=False).astype(float), p
 
 
 def replay(p: np.ndarray, tokens: np.ndarray, steps: list) -> tuple[np.ndarray, np.ndarray]:
@@ -187,31 +199,36 @@ def replay(p: np.ndarray, tokens: np.ndarray, steps: list) -> tuple[np.ndarray,
     return np.where(tokens > 0, rate, 1.0), np.where(tokens > 0, ahead, 1.0)
 
 
-def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, **kw) -> DataFrame:
-    """(doc_id, tokens, p_<domain>..., rate) of every row.
+def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, vocabulary: str = VOCABULARY, **kw) -> DataFrame:
+    """(doc_id, tokens, bpe_tokens, p_<domain>..., rate, bpe_rate) of every row.
 
-    ``rate`` is how often a document is expected to be taken. A null or empty text
-    has 0 tokens and rate 1; repeated rows are separate supply, null ids are
-    carried, other columns are not read.
+    A rate is how often a document is expected to be taken: ``rate`` for targets in
+    words, ``bpe_rate`` for targets in BPE tokens. A null or empty text has 0 of
+    either and rates 1, one without words 0 tokens and rate 1; repeated rows are
+    separate supply, null ids are carried, other columns are not read.
     """
-    members = written(posteriors(docs, fit(docs, labels)), "posteriors")
-    steps = solve(members, targets, **kw)
+    members = written(posteriors(docs, fit(docs, labels), vocabulary), "posteriors")
+    both = {count: solve(members, targets, count=count, **kw) for count in ("tokens", "bpe_tokens")}
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
-        tokens, p = _members(b)
-        return pa.record_batch([*b.columns, pa.array(np.round(replay(p, tokens, steps)[0], 6))], [*b.schema.names, "rate"])
+        rates = []
+        for count, steps in both.items():
+            tokens, p = _members(b, count)
+            rates.append(pa.array(np.round(replay(p, tokens, steps)[0], 6)))
+        return pa.record_batch([*b.columns, *rates], [*b.schema.names, "rate", "bpe_rate"])
 
-    return map_batches(members, each, "doc_id long, tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS) + ", rate double")
+    return map_batches(members, each, _schema("rate double", "bpe_rate double"))
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, **kw) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, count: str = "tokens", vocabulary: str = VOCABULARY, **kw) -> DataFrame:
     """The documents, each as often as its rate says: the whole part of the rate always, once more if a hash of the doc_id falls below the fraction.
 
+    ``count`` is what the targets are shares of: "tokens" (words) or "bpe_tokens".
     All columns stay. Texts never move: the last pass works out each row's rate
     again from its posterior and the steps.
     """
     model = fit(docs, labels)
-    steps = solve(written(posteriors(docs, model), "posteriors"), targets, **kw)
+    steps = solve(written(posteriors(docs, model, vocabulary), "posteriors"), targets, count=count, **kw)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     drawn = docs.withColumn(fresh(docs, "__draw"), F.pmod(F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
@@ -224,6 +241,8 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
             raw, offsets = K.buffers(b.column(at))
             found = [sent.value.posterior(r, o) for _, r, o in K.chunks(raw, offsets)]
             p, n = np.round(np.concatenate([x for x, _ in found]), 9), np.concatenate([x for _, x in found])
+            if count != "tokens":
+                n = np.diff(offsets)  # only whether there are any matters; a text of any byte has BPE tokens
             rate = np.round(replay(p, n.astype(float), steps)[0], 6)
             times = np.floor(rate) + (b.column(len(names)).to_numpy(zero_copy_only=False) < rate - np.floor(rate))
             # a few rows at a time: copies of long texts shouldn't pile up in one batch

@@ -135,6 +135,34 @@ def test_mixing_meets_targets(spark, sf, docs):
     assert sum(r["count"] for r in again) == pytest.approx(rate.sum(), rel=0.15)
 
 
+def test_mixing_meets_targets_in_bpe_tokens(spark, sf, docs, monkeypatch):
+    enc = token_orc.encoder()
+    n_of = {r.doc_id: len(enc.encode_ordinary(r.text)) for r in docs.collect()}
+    rows = queries.QUERIES["op6_mixing_rates"](spark, sf).collect()
+    assert {r.doc_id: r.bpe_tokens for r in rows} == n_of
+    n = np.array([r.bpe_tokens for r in rows], float)
+    p = np.array([[r[f"p_{d}"] for d in mixing.DOMAINS] for r in rows])
+    rate = np.array([r.bpe_rate for r in rows])
+    goal = np.array([mixing.TARGETS[d] for d in mixing.DOMAINS])
+    got = (rate * n) @ p / n.sum()
+    assert (np.abs(got - goal) < 0.02 * np.maximum(goal, 0.05)).all()
+    # the pipeline takes documents by these rates
+    taken = {r.doc_id: r["count"] for r in corpus_pipeline.mix(spark, docs, sf).groupBy("doc_id").count().collect()}
+    assert all(int(r.bpe_rate) <= taken.get(r.doc_id, 0) <= int(r.bpe_rate) + 1 for r in rows)
+    asked = {}
+    monkeypatch.setattr(mixing, "mixed", lambda *a, **kw: asked.update(kw))
+    corpus_pipeline.mix(spark, docs, sf)
+    assert asked == {"count": "bpe_tokens"}
+
+
+def test_mixing_weighs_long_runs_by_their_bpe_tokens(spark):
+    rows = documents(spark, [(1, "中文字" * 200, "zh"), (2, "one two", "en"), (3, "#" * 90, "en"), (4, None, "en"), (5, "", "en")])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    enc = token_orc.encoder()
+    got = {r.doc_id: (r.tokens, r.bpe_tokens) for r in mixing.mixing_rates(rows, labels).collect()}
+    assert got == {1: (1, len(enc.encode_ordinary("中文字" * 200))), 2: (2, len(enc.encode_ordinary("one two"))), 3: (0, len(enc.encode_ordinary("#" * 90))), 4: (0, 0), 5: (0, 0)}
+
+
 def test_mixing_classifier_held_out(spark):
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
