@@ -23,8 +23,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
-    return contamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold a passage of the benchmark go, in scripts without spaces too."""
+    return contamination.clean(docs, table(spark, sf_dir, "benchmark"), scripts=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

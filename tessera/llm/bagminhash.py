@@ -1,7 +1,7 @@
 """Near-duplicate removal with BagMinHash signatures.
 
 A text is the multiset of its two-word shingles (its single word, if it has but
-one). Weights are discretised to whole counts and split into dyadic levels
+one); words are by script as in ``kernel``. Weights are discretised to whole counts and split into dyadic levels
 (0,1], (1,2], (2,4], (4,8]...; every (shingle, level) is a Poisson process whose
 rate is the level's width and whose points carry a time, a register and a place
 within the level. A point counts only if its place is within the weight, which
@@ -103,7 +103,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
         ids, one, two, keys = [], [], [], []
         raw, offsets = K.buffers(b.column("text"))
         for k, r, o in K.chunks(raw, offsets):
-            row, g, c = bags(K.Words(r, o))
+            row, g, c = bags(K.Words(r, o, scripts=True))
             if not len(row):
                 continue
             n = len(o) - 1
@@ -136,7 +136,7 @@ def multisets(docs: DataFrame) -> DataFrame:
         out = []
         raw, offsets = K.buffers(b.column("text"))
         for _, r, o in K.chunks(raw, offsets):
-            row, g, c = bags(K.Words(r, o))
+            row, g, c = bags(K.Words(r, o, scripts=True))
             row, g = np.repeat(row, c), (np.repeat(g, c) >> np.uint64(32)).astype(np.uint32)
             cut = np.searchsorted(row, np.arange(len(o)))
             out += [np.sort(g[x:y]).tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]

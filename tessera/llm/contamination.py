@@ -135,10 +135,11 @@ def _parts(benchmark: DataFrame, most: int):
         yield (sized if n == 1 else sized.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)).toArrow()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, benchmark_bytes: int = BENCHMARK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, benchmark_bytes: int = BENCHMARK_BYTES, scripts: bool = False) -> DataFrame:
     """(doc_id, item_id, match_words, doc_word, item_word): the longest verbatim match of each affected document with each item.
 
-    Words as in ``kernel``; positions count words from 0. A match has at least
+    Words as in ``kernel``, by its ``scripts`` rule if asked (the query follows the
+    SQL, which has the other rule); positions count words from 0. A match has at least
     ``min_words`` words; items and documents with fewer never match. Of equally
     long matches the earliest in the document, then in the item. Null texts
     match nothing, null ids are carried, repeated rows give repeated results.
@@ -152,11 +153,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WO
 
         def find(b: pa.RecordBatch, sent=sent) -> pa.RecordBatch | None:
             raw, offsets, ids, null = sent.value
-            test = K.Words(raw, offsets)
+            test = K.Words(raw, offsets, scripts)
             found = []
             body, off = K.buffers(b.column("text"))
             for k, r, o in K.chunks(body, off, SHARD_BYTES):
-                m = longest_matches(K.Words(r, o), test, min_words)
+                m = longest_matches(K.Words(r, o, scripts), test, min_words)
                 m[:, 0] += k
                 found.append(m)
             m = np.concatenate(found)
@@ -171,7 +172,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WO
     return out
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, benchmark_bytes: int = BENCHMARK_BYTES) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, benchmark_bytes: int = BENCHMARK_BYTES, scripts: bool = False) -> DataFrame:
     """The rows without a match; all columns. Every row is judged by its own text, where it lies."""
     at = docs.columns.index("text")
     for part in _parts(benchmark, benchmark_bytes):
@@ -179,13 +180,13 @@ def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, ben
         sent = docs.sparkSession.sparkContext.broadcast((raw.copy(), offsets.copy()))
 
         def sift(batches, sent=sent):
-            test = K.Words(*sent.value)
+            test = K.Words(*sent.value, scripts)
             for b in batches:
                 if not b.num_rows:
                     continue
                 keep = np.ones(b.num_rows, bool)
                 for k, r, o in K.chunks(*K.buffers(b.column(at)), SHARD_BYTES):
-                    keep[longest_matches(K.Words(r, o), test, min_words)[:, 0] + k] = False
+                    keep[longest_matches(K.Words(r, o, scripts), test, min_words)[:, 0] + k] = False
                 yield b.filter(pa.array(keep))
 
         docs = docs.mapInArrow(sift, docs.schema)

@@ -1,12 +1,16 @@
 """Vectorised text kernels over Arrow string buffers, shared by the Arrow-batch stages.
 
 A *word* is a maximal run of bytes that are ASCII letters, digits or >= 0x80
-(so any non-ASCII letter); ASCII is lower-cased. Words carry 64-bit hashes, so
+(so any non-ASCII letter); ASCII is lower-cased. By this rule, which the SQL has
+too, a text without ASCII borders is one word; with ``scripts`` every character of
+a script written without spaces is its own word, and Unicode punctuation and
+spaces are borders. Words carry 64-bit hashes, so
 whole batches are compared without building Python strings.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +29,10 @@ _INVERSE = pow(_BASE, -1, 2**64)
 #: A batch is cut at document borders into chunks of about this many bytes.
 CHUNK_BYTES = 1 << 21
 _tables = [np.ones(1, U), np.ones(1, U)]
+#: Blocks of scripts written without spaces: Thai, Lao, Myanmar, Khmer, Tai, Balinese, Javanese, Han, kana, bopomofo, Yi.
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x302F), (0x3031, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFD)]
+_BORDER, _ALONE = 1, 2
+_kinds: list[np.ndarray] = []
 
 
 def _powers(n: int) -> list[np.ndarray]:
@@ -70,18 +78,48 @@ def chunks(raw: np.ndarray, offsets: np.ndarray, most: int = CHUNK_BYTES) -> Ite
         k = end
 
 
+def _kind() -> np.ndarray:
+    """_BORDER, _ALONE or 0 of every code point, made once a worker."""
+    if not _kinds:
+        kind = np.zeros(0x110000, np.uint8)
+        for a, b in _UNSPACED:
+            kind[a : b + 1] = _ALONE
+        borders = [c for c in range(128, 0x110000) if unicodedata.category(chr(c))[0] in "PZ" or chr(c).isspace()]
+        kind[[*borders, 0x200B]] = _BORDER
+        _kinds.append(kind)
+    return _kinds[0]
+
+
+def _by_script(raw: np.ndarray, word: np.ndarray, edge: np.ndarray) -> None:
+    """Enters borders and characters that are words by themselves into ``Words``' marks (one place later than the bytes)."""
+    at = np.flatnonzero((raw >= 0xC6) | (raw == 0xC2))  # U+00C0 to U+017F are letters
+    if not len(at):
+        return
+    b = [np.r_[raw, np.zeros(3, np.uint8)][at + k].astype(np.int64) for k in range(4)]
+    two, three, four = (b[0] & 31) << 6 | b[1] & 63, (b[0] & 15) << 12 | (b[1] & 63) << 6 | b[2] & 63, (b[0] & 7) << 18 | (b[1] & 63) << 12 | (b[2] & 63) << 6 | b[3] & 63
+    kind = _kind()[np.minimum(np.where(b[0] < 0xE0, two, np.where(b[0] < 0xF0, three, four)), 0x10FFFF)]
+    size = 2 + (b[0] >= 0xE0) + (b[0] >= 0xF0)
+    for k in range(4):
+        word[at[(kind == _BORDER) & (size > k)] + k + 1] = False
+    alone = kind == _ALONE
+    edge[at[alone] + 1] = True
+    edge[np.minimum(at[alone] + size[alone], len(raw)) + 1] = True
+
+
 class Words:
-    """Words of a chunk: hash, first byte, end byte and row of each; ``first[r]:first[r + 1]`` are row r's words."""
+    """Words of a chunk: hash, first byte, end byte and row of each; ``first[r]:first[r + 1]`` are row r's words. ``scripts``: see above."""
 
     __slots__ = ("hash", "start", "end", "row", "first")
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, scripts: bool = False):
         n = len(raw)
         rows = len(offsets) - 1
         edge = np.zeros(n + 2, bool)
         word = np.zeros(n + 2, bool)
         word[1:-1] = _IS_WORD[raw]
         edge[offsets + 1] = True
+        if scripts:
+            _by_script(raw, word, edge)
         before = word[:-1] & ~edge[1:]  # the byte before, within the same row
         self.start = np.flatnonzero(word[1:-1] & ~before[:-1])
         after = word[1:] & ~edge[1:]

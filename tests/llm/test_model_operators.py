@@ -264,6 +264,33 @@ def test_kernel_words(texts):
     assert len(set(named.values())) == len(named)
 
 
+def test_kernel_words_by_script():
+    import pyarrow as pa
+
+    texts = ["中文，abc def。", "", "ab中c é—x\u3000日本ー", "ไทย ok", "🙂 né 12", "中", "文", "«Ça» va…", None, "𠀀𠀁"]
+    raw, offsets = kernel.buffers(pa.array(texts, pa.string()))
+    w = kernel.Words(raw, offsets, scripts=True)
+    got = [[bytes(raw[a:b]).decode() for a, b in zip(w.start[x:y], w.end[x:y], strict=True)] for x, y in zip(w.first[:-1], w.first[1:], strict=True)]
+    assert got == [["中", "文", "abc", "def"], [], ["ab", "中", "c", "é", "x", "日", "本", "ー"], ["ไ", "ท", "ย", "ok"], ["🙂", "né", "12"], ["中"], ["文"], ["Ça", "va"], [], ["𠀀", "𠀁"]]
+    assert w.hash[0] == w.hash[w.first[5]] != w.hash[w.first[6]]
+
+
+def test_scripts_without_spaces(spark, sf):
+    rnd = random.Random(6)
+    say = lambda n: "".join(chr(rnd.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+    item, text = say(40), say(300)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    df = documents(spark, [(1, say(30) + item + say(30), "zh"), (2, text, "zh"), (3, text[:150] + "。" + say(1) + text[150:], "zh"), (4, say(300), "zh")])
+    assert [tuple(r) for r in contamination.contamination(df, bench, scripts=True).collect()] == [(1, 1, 40, 30, 0)]
+    assert {r.doc_id for r in contamination.clean(df, bench, scripts=True).collect()} == {2, 3, 4}
+    assert {r.doc_id: r.group_id for r in bagminhash.near_duplicates(df).collect()} == {2: 2, 3: 2}
+    asked = {}
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(contamination, "clean", lambda *a, **kw: asked.update(kw))
+        corpus_pipeline.decontaminate(spark, df, sf)
+    assert asked == {"scripts": True}
+
+
 def test_pipeline_stages(spark, sf, docs):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontaminate", "mix", "tokenize"]
     now = docs
