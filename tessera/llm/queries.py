@@ -7,6 +7,7 @@ QUERIES = {
     "op2_token_counts": bpe_count.op2_token_counts,
     "op3_token_orc": token_orc.op3_token_orc,
     "op4_suffix_dedup": suffix_runs.op4_suffix_dedup,
+    "op4_suffix_removal": suffix_runs.op4_suffix_removal,
     "op5_exact_dedup": exact_stream.op5_exact_dedup,
     "op6_mixing_rates": mixing.op6_mixing_rates,
     "op7_language_id": language.op7_language_id,

@@ -11,6 +11,8 @@
    prefix with the last output. Heads that differ in it are told apart by it
    alone, equal ones are compared from there on; known prefixes never again.
 4. Equal suffixes are repeated windows; a document's overlapping ones are joined.
+
+``without_repeats`` removes: of each window every occurrence but the first goes.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import LAST, id_text, map_batches, table, text_bytes
+from .common import LAST, fresh, id_text, map_batches, table, text_bytes, written
 
 MIN_WORDS = 50
 ANCHOR = 20
@@ -173,14 +175,19 @@ def _send(buckets: int, occurrences: tuple[np.ndarray, ...], copies: list[tuple]
         yield int(K.mix(members[:1].view(np.uint64))[0] % np.uint64(buckets)), None, blob
 
 
-def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, removable: bool = False) -> DataFrame:
     """(doc_id, start_word, end_word, first_doc_id): every passage of 50 words or more that occurs more than once.
 
     Words as in ``kernel``, counted from 0, end exclusive. Spans are unions of
     overlapping 50-word windows that occur elsewhere, in another document or in
-    the same; every occurrence is returned, so a passage's removal is
-    ``doc_id > first_doc_id``; first_doc_id is the smallest document among the
-    occurrences of the span's windows. Texts of fewer words, null and empty texts
+    the same; every occurrence is returned; first_doc_id is the smallest document among
+    the occurrences of the span's windows. These are reports: a span can hold words
+    whose only copy it is one of, so ``doc_id > first_doc_id`` is no rule for removal.
+
+    With ``removable``, for doc_ids that are unique and not null, windows that are the
+    first occurrence (by doc_id, then place) are left out before windows are joined,
+    and of equal texts the one of the smallest doc_id; the spans can all be removed.
+    Each word in one has a copy at an earlier place, so a copy of each stays. Texts of fewer words, null and empty texts
     have none. Rows with a null doc_id serve as occurrences alone: nothing could name
     their spans, so none is returned. A repeated row is a copy; other rows of one
     doc_id are one document.
@@ -285,6 +292,10 @@ def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Data
             least = np.full(len(total), LAST, np.int64)
             np.minimum.at(least, key, doc)
             found = doc, pos, least[key]
+            if removable:
+                o = np.lexsort((pos, doc, key))
+                again = o[1:][key[o[1:]] == key[o[:-1]]]  # not a window's first occurrence
+                found = tuple(x[again] for x in found)
         sent = list(_send(buckets, found, [c for c in rows["copies"].to_pylist() if c is not None]))
         return pa.table([pa.array([x[0] for x in sent], pa.int32()), pa.array([x[1] for x in sent], pa.binary()), pa.array([x[2] for x in sent], pa.binary())], ["bucket", "run", "copies"])
 
@@ -303,6 +314,8 @@ def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Data
                 members, (n,) = unpack(blob, 2)
                 mine = first[np.searchsorted(doc, members[0]) : np.searchsorted(doc, members[0], "right")]
                 least = min([int(members[0]), *mine.tolist()])
+                if removable:
+                    members = members[1:]  # the first keeps what isn't removed for its own windows
                 whole.append(members[0])
                 for k, v in enumerate((members, np.zeros(len(members), np.int64), np.full(len(members), n), np.full(len(members), least))):
                     extra[k].append(v)
@@ -315,6 +328,49 @@ def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> Data
     return merged.groupBy("bucket").applyInArrow(join_windows, "doc_id long, start_word int, end_word int, first_doc_id long")
 
 
+def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """All rows and columns; of every passage of 50 words or more that repeats, in one text or several, only the first copy stays.
+
+    Rows count in the order of doc_id (nulls last), then of the text's hash; equal
+    rows are copies. A removed span goes from its first word to the word after it, or
+    to the text's end, so a later copy of a whole text becomes the empty text (what
+    precedes its first word stays). Null and empty texts stay as they are.
+    """
+    row, gone = fresh(docs, "__row"), fresh(docs, "__gone")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).groupBy("doc_id").count()
+    if ids.where(f"count > 1 OR doc_id IS NULL OR doc_id = {LAST}").isEmpty():
+        kept = docs.withColumn(row, F.col("doc_id").cast("long"))
+    else:  # numbers in this order, over files, so that they are the same whenever they are read
+        kept = written(docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).withColumn(row, F.monotonically_increasing_id()), "numbered")
+    spans = repeated_passages(kept.select(F.col(f"`{row}`").alias("doc_id"), "text"), bucket_bytes, removable=True)
+    spans = spans.groupBy(F.col("doc_id").alias(row)).agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias(gone))
+    names = docs.columns
+    at = names.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text, spans = b.column(at).to_pylist(), b.column(len(names)).to_pylist()
+            for k in [k for k, x in enumerate(spans) if x]:
+                data = text[k].encode()
+                raw = np.frombuffer(data, np.uint8)
+                start = K.Words(raw, np.array([0, len(raw)])).start.tolist() + [len(raw)]
+                parts, done = [], 0
+                for x in spans[k]:
+                    parts.append(data[done : start[x["start_word"]]])
+                    done = start[x["end_word"]]
+                text[k] = b"".join([*parts, data[done:]]).decode()
+            columns = b.columns[: len(names)]
+            columns[at] = pa.array(text, columns[at].type)
+            yield pa.record_batch(columns, names=names)
+
+    joined = kept.join(spans, row, "left").select(*(f"`{c}`" for c in names), f"`{gone}`")
+    return joined.mapInArrow(cut, docs.schema)
+
+
+def op4_suffix_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents"))
 

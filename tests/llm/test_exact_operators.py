@@ -107,6 +107,42 @@ def test_suffixes_odd(spark):
     assert suffix_runs.repeated_passages(odd(spark).limit(0)).count() == 0
 
 
+def test_suffix_removal(spark):
+    rnd = random.Random(9)
+    x, y, z, own = ([f"{c}{rnd.randrange(10**6)}" for _ in range(70)] for c in "xyzo")
+    rows = [(3, x + y), (5, x + y + z), (7, y + z), (40, own + ["mid"] + own), (50, x + y), (None, own[:60])]
+    df = documents(spark, [(i, " ".join(w), "en") for i, w in rows] + [(60, None, "en"), (61, "", "en"), (62, "short one", "en")])
+    for size in (1 << 22, 2000):
+        out = suffix_runs.without_repeats(df, size)
+        assert out.columns == df.columns
+        got = {r.doc_id: r.text for r in out.collect()}
+        assert {i: words(t) for i, t in got.items()} == {3: x + y, 5: z, 7: [], 40: [*own, "mid"], 50: [], None: [], 60: [], 61: [], 62: ["short", "one"]}
+        assert got[60] is None and got[61] == "" and got[62] == "short one"
+    assert suffix_runs.without_repeats(odd(spark)).count() == 13 and suffix_runs.without_repeats(odd(spark).limit(0)).count() == 0
+
+
+def test_suffix_removal_brute_force(spark):
+    rnd = random.Random(12)
+    base = [f"w{rnd.randrange(500)}" for _ in range(900)]
+    rows = []
+    for i in range(25):
+        w = []
+        for _ in range(3):
+            a = rnd.randrange(700)
+            w += base[a : a + rnd.choice([40, 60, 120, 200])] + [f"u{i}"] * rnd.randrange(2)
+        rows.append((i, w))
+    rows += [(30, rows[4][1]), (31, ["a"] * 130)]
+    first, gone = {}, set()
+    for i, w in rows:
+        for p in range(len(w) - 49):
+            if first.setdefault(tuple(w[p : p + 50]), (i, p)) != (i, p):
+                gone |= {(i, k) for k in range(p, p + 50)}
+    want = {i: [t for k, t in enumerate(w) if (i, k) not in gone] for i, w in rows}
+    got = {r.doc_id: words(r.text) for r in suffix_runs.without_repeats(documents(spark, [(i, " ".join(w), "en") for i, w in rows])).collect()}
+    assert gone and got == want
+    assert {t for w in got.values() for t in w} == {t for _, w in rows for t in w}
+
+
 def test_loser_tree_merges_any_runs():
     rnd = random.Random(1)
     for k in (0, 1, 2, 3, 7):
