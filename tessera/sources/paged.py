@@ -1,4 +1,7 @@
-"""A paged rows API as a Python data source: one partition a page, retries with back-off."""
+"""A paged rows API as a Python data source: one partition a page, retries with back-off.
+
+A source that names no total is one partition that reads page after page.
+"""
 
 from __future__ import annotations
 
@@ -24,8 +27,10 @@ def with_retries(call: Callable[[], dict], retries: int = 3, most: float = 8.0,
 
 
 class Page(InputPartition):
-    def __init__(self, offset: int, length: int):
-        self.offset, self.length = offset, length
+    """``length`` rows from ``offset`` on, all of which must come; without ``exact``, as many as the source has, up to ``length`` if not None."""
+
+    def __init__(self, offset: int, length: int | None, exact: bool = True):
+        self.offset, self.length, self.exact = offset, length, exact
 
 
 class PagedReader(DataSourceReader):
@@ -48,16 +53,31 @@ class PagedReader(DataSourceReader):
         return with_retries(call, self.retries)
 
     def partitions(self):
-        """Pages up to the total that the first page names; the limit cuts them."""
+        """Pages up to the total that the first page names; the limit cuts them. Without a total, one partition for all."""
         first = self.fetch(0, min(self.page, self.limit or self.page))
-        total = int(first.get("num_rows_total", len(first.get("rows", []))))
-        total = min(total, self.limit) if self.limit else total
+        total = first.get("num_rows_total")
+        if total is None:
+            return [Page(0, self.limit or None, exact=False)]
+        total = min(int(total), self.limit) if self.limit else int(total)
         return [Page(k, min(self.page, total - k)) for k in range(0, total, self.page)] or [Page(0, 0)]
 
     def read(self, partition) -> Iterator[tuple[int, str]]:
-        if partition.length:
-            for k, row in enumerate(self.fetch(partition.offset, partition.length).get("rows", [])[: partition.length]):
-                yield int(row.get("row_idx", partition.offset + k)), json.dumps(row.get("row", row), ensure_ascii=False)
+        """The rest of a short page is asked for again; no rows before a known total are an error. Without a total an empty or short page ends the source."""
+        offset, left, total = partition.offset, partition.length, None
+        while left is None or left > 0:
+            asked = self.page if left is None else min(self.page, left)
+            answer = self.fetch(offset, asked)
+            rows = answer.get("rows", [])[:asked]
+            for k, row in enumerate(rows):
+                yield int(row.get("row_idx", offset + k)), json.dumps(row.get("row", row), ensure_ascii=False)
+            offset += len(rows)
+            left = None if left is None else left - len(rows)
+            if not partition.exact:
+                total = answer.get("num_rows_total", total)
+                if offset >= int(total) if total is not None else len(rows) < asked:
+                    break
+            if not rows and left != 0:
+                raise ValueError(f"no rows from {offset} on, though the source has more")
 
 
 class PagedRows(DataSource):

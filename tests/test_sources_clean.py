@@ -116,6 +116,28 @@ def test_paged(spark, tmp_path):
     assert with_retries(flaky, 5, wait=waits.append) == {} and waits == [1, 2, 4, 8, 8]
 
 
+def test_paged_without_total_and_short_pages(spark, tmp_path):
+    def serve(name, offset, length, n, **more):
+        (tmp_path / f"{name}{offset}-{length}").write_text(json.dumps(more | {"rows": [{"row": {"q": i}} for i in range(offset, offset + n)]}))
+
+    spark.dataSource.register(PagedRows)
+    load = lambda name, **o: sorted(r.row_idx for r in spark.read.format("paged_rows").options(url=f"file://{tmp_path}/{name}{{offset}}-{{length}}", page=10, retries=0, **o).load().collect())
+    for k, n in ((0, 10), (10, 10), (20, 4)):
+        serve("short", k, 10, n)
+    serve("short", 10, 3, 3)
+    assert load("short") == list(range(24)) and load("short", limit=13) == list(range(13))
+    for k, n in ((0, 10), (10, 10), (20, 0)):
+        serve("empty", k, 10, n, num_rows_total=None)
+    assert load("empty") == list(range(20))
+    # within a known total the rest of a short page is asked for again
+    for k, length, n in ((0, 10, 7), (7, 3, 3), (10, 10, 10), (20, 5, 5)):
+        serve("known", k, length, n, num_rows_total=25)
+    assert load("known") == list(range(25))
+    serve("known", 7, 3, 0, num_rows_total=25)
+    with pytest.raises(Exception, match="no rows from 7 on"):
+        load("known")
+
+
 def test_stream(spark, tmp_path):
     out, cp = str(tmp_path / "o"), str(tmp_path / "cp")
     put(tmp_path / "s/a.jsonl", [{"question": "what is it then", "answer": "a long enough answer"}] * 2)
