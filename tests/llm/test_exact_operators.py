@@ -244,3 +244,37 @@ def test_token_round_trip_and_metadata(spark, sf):
     rows = {(r.doc_id, r.n_tokens, None if r.tokens is None else len(r.tokens)) for r in token_orc.token_table(odd(spark)).collect()}
     assert {(2, None, None), (3, 0, 0), (None, None, None)} <= rows and token_orc.token_table(odd(spark)).count() == 13
     assert token_orc.token_table(odd(spark).limit(0)).count() == 0
+
+
+def test_exact_state_outlives_a_run(spark, tmp_path):
+    new = lambda rows: documents(spark, [(i, t, "en") for i, t in rows], extra=False).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    run = lambda: {(r.doc_id, r.duplicate_of) for r in exact_stream.exact_dedup_path(spark, f"{tmp_path}/in", state=f"{tmp_path}/state").collect()}
+    new([(5, "a"), (6, "b"), (7, "a"), (8, "c")])
+    assert run() == {(7, 5)}
+    read = len(list((tmp_path / "state/locators").glob("*.parquet")))
+    new([(3, "b"), (9, "d"), (10, None)])
+    assert run() == {(6, 3)}  # the old row is now the copy; "a" didn't come again
+    new([(11, "a"), (12, "d")])
+    assert run() == {(7, 5), (11, 5), (12, 9)}
+    assert run() == set()
+    # each file was read once: its rows have one locator
+    at = spark.read.parquet(f"{tmp_path}/state/locators")
+    assert read and at.count() == at.select("file", "row").distinct().count() == 8
+
+
+def test_exact_reads_only_the_row_groups_of_hits(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    rows = [(k, f"text {k % 900}") for k in range(1000)]
+    pq.write_table(pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}), tmp_path / "d.parquet", row_group_size=70)
+    got = {(r.doc_id, r.duplicate_of) for r in exact_stream.exact_dedup_path(spark, f"{tmp_path}/d.parquet").collect()}
+    assert got == {(900 + k, k) for k in range(100)}
+    want = spark.createDataFrame([(f"file://{tmp_path}/d.parquet", k) for k in (0, 69, 70, 500, 999)], "file string, row long")
+    assert {r.row: r.text for r in exact_stream.fetch(want, 5).collect()} == {k: rows[k][1] for k in (0, 69, 70, 500, 999)}
+
+
+def test_exact_hot_group(spark):
+    rows = [(k, "the same text", "en") for k in range(3000)] + [(k, f"own {k}", "en") for k in range(3000, 6000)] + [(6000, "own 3000", "en")]
+    got = {(r.doc_id, r.duplicate_of) for r in exact_stream.exact_dedup(documents(spark, rows, extra=False)).collect()}
+    assert got == {(k, 0) for k in range(1, 3000)} | {(6000, 3000)}
