@@ -3,14 +3,22 @@
 1. Which suffixes can repeat: of every ``min_words`` consecutive words the
    smallest of their 20-word hashes is an anchor. Equal passages pick equal
    anchors, so a passage that repeats has an anchor that repeats; suffixes
-   away from such anchors are left out (an exact test, none is missed).
-2. Runs: documents are bucketed by text; a bucket sorts its suffixes over the
+   away from such anchors are left out (an exact test, none is missed). An anchor that
+   repeats within a batch is settled there; one row of it stands for the batch.
+2. Runs: texts are bucketed by their hash, a text that has copies once (the copies
+   are named at the end); a bucket sorts its suffixes over the
    alphabet of ten-word blocks, five symbols deep, and sends each range of the
-   order as a front-coded run: shared prefix length, then the other symbols.
+   order as a front-coded run of distinct suffixes, each with its first place alone:
+   shared prefix length, then the other symbols. The places themselves stay with the bucket.
 3. Merge: a range's runs meet in a loser tree that keeps every run head's common
    prefix with the last output. Heads that differ in it are told apart by it
-   alone, equal ones are compared from there on; known prefixes never again.
-4. Equal suffixes are repeated windows; a document's overlapping ones are joined.
+   alone, equal ones are compared from there on; known prefixes never again. A
+   suffix that many documents hold is one entry a bucket, however often it occurs.
+4. Each bucket learns which of its suffixes repeat, and where first; equal suffixes
+   are repeated windows, and a text's overlapping ones are joined.
+
+Suffixes are compared by their first 50 words (five 32-bit block hashes), as windows
+of that length decide; beyond these the order is not defined.
 
 ``without_repeats`` removes: of each window every occurrence but the first goes.
 """
@@ -26,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import LAST, fresh, id_text, map_batches, table, text_bytes, written
+from .common import LAST, fresh, id_text, map_batches, table, with_keys, written
 
 MIN_WORDS = 50
 ANCHOR = 20
@@ -35,6 +43,8 @@ DEPTH = MIN_WORDS // BLOCK
 #: Text of one bucket; the number of buckets grows with the input.
 BUCKET_BYTES = 12 << 20
 _SPREAD = MIN_WORDS - ANCHOR
+#: Texts that a task remembers so as to send copies but once.
+SEEN = 1 << 18
 
 
 def anchors(words: K.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -69,15 +79,15 @@ def unpack(blob: bytes, n: int) -> list[np.ndarray]:
 
 
 def run_of(symbols: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
-    """A sorted run: (distinct keys, common prefix with the key before, occurrences of each, doc and pos of all occurrences)."""
+    """A sorted run: (distinct keys, common prefix with the key before, places of each, order of the places: by key, doc, pos)."""
     s = symbols.astype(np.uint64)
     pairs = [s[:, k] << np.uint64(32) | (s[:, k + 1] if k + 1 < s.shape[1] else np.uint64(0)) for k in range(0, s.shape[1], 2)]
-    o = np.lexsort(pairs[::-1])
-    symbols, doc, pos = symbols[o], doc[o], pos[o]
+    o = np.lexsort((pos, doc, *pairs[::-1]))
+    symbols = symbols[o]
     same = symbols[1:] == symbols[:-1]
     lcp = np.r_[0, np.minimum.accumulate(same, axis=1).sum(1)].astype(np.uint8)[: len(symbols)]
     new = np.flatnonzero(lcp < symbols.shape[1])
-    return symbols[new], lcp[new], np.diff(np.r_[new, len(symbols)]).astype(np.int32), doc, pos
+    return symbols[new], lcp[new], np.diff(np.r_[new, len(symbols)]).astype(np.int32), o
 
 
 def front_code(keys: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -161,18 +171,105 @@ def merge(runs: list[tuple[list[list[int]], list[int]]]) -> tuple[list[int], lis
     return out_run, out_lcp
 
 
-def _send(buckets: int, occurrences: tuple[np.ndarray, ...], copies: list[tuple]) -> Iterator[tuple[int, bytes | None, bytes | None]]:
-    """Occurrences and groups of copies by bucket of the document."""
-    doc, pos, first = occurrences
-    where = (K.mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    o = np.lexsort((pos, doc, where))
-    cut = np.flatnonzero(np.r_[True, np.diff(where[o]) != 0, True]) if len(o) else []
-    for a, b in zip(cut[:-1], cut[1:], strict=True):
-        i = o[a:b]
-        yield int(where[i[0]]), pack(doc[i], pos[i], first[i]), None
-    for blob in copies:
-        members = unpack(blob, 2)[0]
-        yield int(K.mix(members[:1].view(np.uint64))[0] % np.uint64(buckets)), None, blob
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (.., t, t2, ..) of a partition without those whose text came before; it remembers so many texts, then starts afresh."""
+    seen: set[tuple[int, int]] = set()
+    for b in batches:
+        if len(seen) > SEEN:
+            seen.clear()
+        keep = np.zeros(b.num_rows, bool)
+        for k, key in enumerate(zip(b.column("t").to_pylist(), b.column("t2").to_pylist(), strict=True)):
+            if key not in seen:
+                seen.add(key)
+                keep[k] = True
+        yield b.filter(pa.array(keep))
+
+
+def find_anchors(b: pa.RecordBatch) -> pa.RecordBatch:
+    """(h, t, pos, sure, spread) of a batch's anchors.
+
+    Those whose hash has several places in the batch are sure to repeat: each goes its own way (``spread``), and
+    one more row stands for all of them where the hash is compared with other batches.
+    """
+    t = b.column("t").to_numpy()
+    hs, ts, ps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    for k, r, o in K.chunks(*K.buffers(b.column("text"))):
+        w = K.Words(r, o)
+        at, h = anchors(w)
+        row = w.row[at]
+        hs.append(h.view(np.int64))
+        ts.append(t[row + k])
+        ps.append((at - w.first[row]).astype(np.int32))
+    h, t, pos = np.concatenate(hs), np.concatenate(ts), np.concatenate(ps)
+    o = np.lexsort((pos, t, h))
+    h, t, pos = h[o], t[o], pos[o]
+    new = np.r_[True, (h[1:] != h[:-1]) | (t[1:] != t[:-1]) | (pos[1:] != pos[:-1])] if len(h) else np.zeros(0, bool)
+    h, t, pos = h[new], t[new], pos[new]
+    first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[first, len(h)])
+    sure = np.repeat(size > 1, size)
+    one = first[size > 1]
+    spread = np.where(sure, K.mix(t.view(np.uint64) + pos.astype(np.uint64)).view(np.int64), 0)
+    columns = (np.r_[h, h[one]], np.r_[t, t[one]], np.r_[pos, pos[one]], np.r_[sure, np.zeros(len(one), bool)], np.r_[spread, np.zeros(len(one), np.int64)])
+    return pa.record_batch([pa.array(x) for x in columns], ["h", "t", "pos", "sure", "spread"])
+
+
+def merge_range(runs: list[bytes]) -> Iterator[tuple[int, bytes]]:
+    """(bucket, verdict) of each run of a range: which of its suffixes occur more than once, and where first."""
+    lists, parts = [], []
+    for blob in runs:
+        lcp, rest, multi, doc, pos, (bucket, base) = unpack(blob, 6)
+        lists.append((front_decode(lcp, rest, DEPTH).tolist(), lcp.tolist()))
+        parts.append((multi, doc, pos, int(bucket), int(base)))
+    order, common = (np.array(x, np.int64) for x in merge(lists))
+    if not len(order):
+        return
+    # an output is its run's next key
+    nth = np.empty(len(order), np.int64)
+    o = np.argsort(order, kind="stable")
+    nth[o] = np.arange(len(order))
+    multi, doc, pos = (np.concatenate([p[i] for p in parts])[nth] for i in range(3))
+    key = np.cumsum(common < DEPTH) - 1
+    again = (np.bincount(key) > 1) | (np.bincount(key, multi) > 0)
+    o = np.lexsort((pos, doc, key))
+    first = o[np.flatnonzero(np.r_[True, np.diff(key[o]) != 0])]
+    keep = again[key]
+    start = np.cumsum([0, *(len(p[0]) for p in parts)])
+    for r in range(len(parts)):
+        mine = np.flatnonzero(keep & (order == r))
+        if len(mine):
+            f = first[key[mine]]
+            yield parts[r][3], pack((nth[mine] - start[r] + parts[r][4]).astype(np.int32), doc[f], pos[f])
+
+
+def bucket_spans(home: bytes, verdicts: list[bytes], removable: bool) -> tuple[np.ndarray, ...]:
+    """(doc, start, end, first, t, t2, copies) of a bucket's texts; a text with copies also has its whole, with its hash and number of copies (0: a span of one text)."""
+    count, text, pos, doc, size, t, t2, copies = unpack(home, 8)
+    known = np.zeros(len(count), bool)
+    least, place = np.zeros(len(count), np.int64), np.zeros(len(count), np.int32)
+    for blob in verdicts:
+        key, d, p = unpack(blob, 3)
+        known[key], least[key], place[key] = True, d, p
+    key = np.repeat(np.arange(len(count)), count)
+    keep = known[key]
+    if removable:
+        keep &= (doc[text] != least[key]) | (pos != place[key])
+    text, pos, first = text[keep], pos[keep].astype(np.int64), least[key[keep]]
+    o = np.lexsort((pos, text))
+    text, pos, first = text[o], pos[o], first[o]
+    new = np.flatnonzero(np.r_[True, (np.diff(text) != 0) | (np.diff(pos) >= MIN_WORDS)]) if len(text) else np.zeros(0, np.int64)
+    last = np.r_[new[1:], len(text)] - 1
+    whole = np.flatnonzero((copies > 1) & (size >= MIN_WORDS))
+    lowest = doc.copy()
+    np.minimum.at(lowest, text, first)
+    # the whole takes the place of its own spans, but for the copy that stays
+    own = new if removable else new[~np.isin(text[new], whole)]
+    end = pos[last[np.isin(new, own)]] + MIN_WORDS
+    zero = np.zeros(len(own), np.int64)
+    first_of = np.minimum.reduceat(first, new)[np.isin(new, own)] if len(new) else first
+    spans = doc[text[own]], pos[own], end, first_of, zero, zero, zero
+    wholes = doc[whole], np.zeros(len(whole), np.int64), size[whole], lowest[whole], t[whole], t2[whole], copies[whole]
+    return tuple(np.concatenate(x).astype(np.int64) for x in zip(spans, wholes, strict=True))
 
 
 def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, removable: bool = False) -> DataFrame:
@@ -189,143 +286,105 @@ def repeated_passages(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, removab
     and of equal texts the one of the smallest doc_id; the spans can all be removed.
     Each word in one has a copy at an earlier place, so a copy of each stays. Texts of fewer words, null and empty texts
     have none. Rows with a null doc_id serve as occurrences alone: nothing could name
-    their spans, so none is returned. A repeated row is a copy; other rows of one
-    doc_id are one document.
+    their spans, so none is returned. A repeated row is a copy; rows of one doc_id with other texts are
+    texts of their own, whose spans are all returned under it.
     """
-    texts = id_text(docs).where("text IS NOT NULL").select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text", F.xxhash64("text").alias("t"))
-    buckets = max(1, -(-text_bytes(texts) // bucket_bytes))
+    texts = id_text(docs).where("text IS NOT NULL").select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), "text", F.xxhash64("text").alias("t"), F.xxhash64(F.lit("second"), "text").alias("t2"))
+    named = written(texts.select("doc_id", "t", "t2", F.octet_length("text").alias("size")), "texts")
+    total, size = (int(x or 0) for x in named.agg(F.count(F.lit(1)), F.sum("size")).first())
+    buckets = max(1, -(-size // bucket_bytes))
+    bucket = F.pmod("t", F.lit(buckets)).cast("int").alias("bucket")
 
-    def find_anchors(b: pa.RecordBatch) -> pa.RecordBatch:
-        t = b.column("t").to_numpy()
-        hs, ts, ps = [], [], []
-        for k, r, o in K.chunks(*K.buffers(b.column("text"))):
-            w = K.Words(r, o)
-            at, h = anchors(w)
-            row = w.row[at]
-            hs.append(h.view(np.int64))
-            ts.append(t[row + k])
-            ps.append((at - w.first[row]).astype(np.int32))
-        return pa.record_batch([pa.array(np.concatenate(x)) for x in (hs, ts, ps)], ["h", "t", "pos"])
-
-    all_anchors = map_batches(texts.select("t", "text"), find_anchors, "h long, t long, pos int")
+    all_anchors = map_batches(texts.select("t", "text"), find_anchors, "h long, t long, pos int, sure boolean, spread long")
     at = F.struct("t", "pos")
-    by_hash = Window.partitionBy("h")
-    repeated = all_anchors.select("t", "pos", F.min(at).over(by_hash).alias("least"), F.max(at).over(by_hash).alias("most")).where("least <> most").groupBy("t").agg(F.collect_set("pos").alias("pos"))
-    bucket = F.pmod("t", F.lit(buckets)).cast("int").alias("bucket")
+    by_hash = Window.partitionBy("h", "spread")
+    repeated = all_anchors.select("t", "pos", "sure", F.min(at).over(by_hash).alias("least"), F.max(at).over(by_hash).alias("most")).where("sure OR least <> most").groupBy("t").agg(F.collect_set("pos").alias("pos"))
+    copied = named.groupBy("t", "t2").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    about = repeated.select(bucket, "t", nothing("long", "t2"), "pos", nothing("long", "doc_id"), nothing("long", "n")).unionByName(copied.select(bucket, "t", "t2", nothing("array<int>", "pos"), "doc_id", "n"))
 
     def runs(left: pa.Table, right: pa.Table) -> pa.Table:
-        # equal texts are one; of equal hashes the texts themselves decide
-        of: dict[str, int] = {}
-        text = left["text"].combine_chunks()
-        group = np.array([of.setdefault(x, len(of)) for x in text.to_pylist()], np.int64)
+        nothing = pa.table({"bucket": pa.array([], pa.int32()), "run": pa.array([], pa.binary()), "home": pa.array([], pa.binary())})
+        if not left.num_rows:
+            return nothing
+        mine = int(left["bucket"][0].as_py())
+        t, t2 = left["t"].to_numpy(), left["t2"].to_numpy()
+        o = np.lexsort((t2, t))
+        one = o[np.r_[True, (np.diff(t[o]) != 0) | (np.diff(t2[o]) != 0)]]
+        wanted: dict[int, np.ndarray] = {}
+        groups: dict[tuple[int, int], tuple[int, int]] = {}
+        for a, b, p, d, n in zip(*(right[c].to_pylist() for c in ("t", "t2", "pos", "doc_id", "n")), strict=True):
+            if n is None:
+                wanted[a] = np.asarray(p)
+            else:
+                groups[a, b] = d, n
+        keys = list(zip(t[one].tolist(), t2[one].tolist(), strict=True))
+        use = [k for k, key in enumerate(keys) if key in groups or key[0] in wanted]
+        if not use:
+            return nothing
+        text = left["text"].combine_chunks().take(pa.array(one[use]))
         ids = left["doc_id"].to_numpy()
-        order = np.lexsort((ids, group))
-        cut = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0, True]) if len(order) else np.zeros(1, np.int64)
-        one = order[cut[:-1]]  # the smallest id of each text
-        hashes = left["t"].to_numpy()[one]
-        wanted = dict(zip(right["t"].to_pylist(), right["pos"].to_pylist(), strict=True))
-        out: list[tuple[int, bytes | None, bytes | None]] = []
-        many = np.diff(cut) > 1
-        use = np.flatnonzero(many | np.array([h in wanted for h in hashes.tolist()], bool)) if len(one) else np.zeros(0, np.int64)
-        sym, doc, pos = [np.zeros((0, DEPTH), np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
-        if len(use):
-            for k, r, o in K.chunks(*K.buffers(text.take(pa.array(one[use])))):
-                w = K.Words(r, o)
-                size = np.diff(w.first)
-                mark = np.zeros(len(w.hash) + 2, np.int32)
-                for i in range(len(o) - 1):
-                    g = use[k + i]
-                    if many[g] and size[i] >= MIN_WORDS:
-                        members = ids[order[cut[g] : cut[g + 1]]]
-                        out.append((int(g % buckets), None, pack(members, np.array([size[i]]))))
-                    p = wanted.get(int(hashes[g]))
-                    if p is not None and size[i] >= MIN_WORDS:
-                        p = np.asarray(p)
-                        np.add.at(mark, w.first[i] + np.clip(p - _SPREAD, 0, size[i] - MIN_WORDS + 1), 1)
-                        np.add.at(mark, w.first[i] + np.minimum(p + 1, size[i] - MIN_WORDS + 1), -1)
-                at = np.flatnonzero(np.cumsum(mark)[: len(w.hash)] > 0)
-                if len(at):
-                    blocks = (K.grams(w, BLOCK)[0] >> np.uint64(32)).astype(np.uint32)
-                    sym.append(np.stack([blocks[at + BLOCK * d] for d in range(DEPTH)], 1))
-                    doc.append(ids[one[use[k + w.row[at]]]])
-                    pos.append((at - w.first[w.row[at]]).astype(np.int32))
-        keys, lcp, count, doc, pos = run_of(np.concatenate(sym), np.concatenate(doc), np.concatenate(pos))
+        copies = np.array([groups.get(keys[k], (0, 1))[1] for k in use], np.int64)
+        doc = np.array([groups[keys[k]][0] if keys[k] in groups else ids[one[k]] for k in use], np.int64)
+        length = np.zeros(len(use), np.int64)
+        sym, owner, pos = [np.zeros((0, DEPTH), np.uint32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        for k, r, o in K.chunks(*K.buffers(text)):
+            w = K.Words(r, o)
+            size = np.diff(w.first)
+            length[k : k + len(size)] = size
+            mark = np.zeros(len(w.hash) + 2, np.int32)
+            for i in np.flatnonzero(size >= MIN_WORDS):
+                p = wanted.get(keys[use[k + i]][0])
+                if p is not None:
+                    np.add.at(mark, w.first[i] + np.clip(p - _SPREAD, 0, size[i] - MIN_WORDS + 1), 1)
+                    np.add.at(mark, w.first[i] + np.minimum(p + 1, size[i] - MIN_WORDS + 1), -1)
+            at = np.flatnonzero(np.cumsum(mark)[: len(w.hash)] > 0)
+            if len(at):
+                blocks = (K.grams(w, BLOCK)[0] >> np.uint64(32)).astype(np.uint32)
+                sym.append(np.stack([blocks[at + BLOCK * d] for d in range(DEPTH)], 1))
+                owner.append((w.row[at] + k).astype(np.int32))
+                pos.append((at - w.first[w.row[at]]).astype(np.int32))
+        owner, pos = np.concatenate(owner), np.concatenate(pos)
+        key, lcp, count, o = run_of(np.concatenate(sym), doc[owner], pos)
+        owner, pos = owner[o], pos[o]
+        first = np.cumsum(count) - count
+        out: list[tuple[int, bytes | None, bytes | None]] = [(buckets + mine, None, pack(count, owner, pos, doc, length, t[one[use]], t2[one[use]], copies))]
         # block hashes are uniform, so equal ranges of the first symbol are even parts of the order
-        target = (keys[:, 0].astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        target = (key[:, 0].astype(np.uint64) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         edge = np.searchsorted(target, np.arange(buckets + 1))
-        end = np.r_[0, np.cumsum(count)]
         for k in np.flatnonzero(np.diff(edge)):
             a, b = edge[k], edge[k + 1]
             part = lcp[a:b].copy()
             part[0] = 0
-            out.append((int(k), pack(part, front_code(keys[a:b], part), count[a:b], doc[end[a] : end[b]], pos[end[a] : end[b]]), None))
-        return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], ["bucket", "run", "copies"])
+            out.append((int(k), pack(part, front_code(key[a:b], part), count[a:b] > 1, doc[owner[first[a:b]]], pos[first[a:b]], np.array([mine, a])), None))
+        return pa.table([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], ["bucket", "run", "home"])
 
-    shape = "bucket int, run binary, copies binary"
-    sorted_runs = texts.select(bucket, "doc_id", "t", "text").groupBy("bucket").cogroup(repeated.select(bucket, "t", "pos").groupBy("bucket")).applyInArrow(runs, shape)
+    shape = "bucket int, run binary, home binary"
+    once = texts.select(bucket, "doc_id", "t", "t2", "text").mapInArrow(_once, "bucket int, doc_id long, t long, t2 long, text string")
+    sorted_runs = once.groupBy("bucket").cogroup(about.groupBy("bucket")).applyInArrow(runs, shape)
 
     def merge_runs(rows: pa.Table) -> pa.Table:
-        lists, parts = [], []
-        for blob in rows["run"].to_pylist():
-            if blob is not None:
-                lcp, rest, count, doc, pos = unpack(blob, 5)
-                lists.append((front_decode(lcp, rest, DEPTH).tolist(), lcp.tolist()))
-                parts.append((count, doc, pos))
-        order, common = (np.array(x, np.int64) for x in merge(lists))
-        nothing = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
-        found = nothing
-        if len(order):
-            # an output's key is its run's next; all its occurrences lie together in the run
-            nth = np.empty(len(order), np.int64)
-            o = np.argsort(order, kind="stable")
-            nth[o] = np.arange(len(order))
-            count = np.concatenate([c for c, _, _ in parts]).astype(np.int64)
-            doc, pos = np.concatenate([d for _, d, _ in parts]), np.concatenate([p for _, _, p in parts])
-            start = np.cumsum(count) - count
-            size, begin = count[nth], start[nth]
-            key = np.cumsum(common < DEPTH) - 1
-            total = np.bincount(key, size)
-            keep = total[key] > 1
-            size, begin, key = size[keep], begin[keep], key[keep]
-            at = np.repeat(begin, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            doc, pos, key = doc[at], pos[at], np.repeat(key, size)
-            least = np.full(len(total), LAST, np.int64)
-            np.minimum.at(least, key, doc)
-            found = doc, pos, least[key]
-            if removable:
-                o = np.lexsort((pos, doc, key))
-                again = o[1:][key[o[1:]] == key[o[:-1]]]  # not a window's first occurrence
-                found = tuple(x[again] for x in found)
-        sent = list(_send(buckets, found, [c for c in rows["copies"].to_pylist() if c is not None]))
-        return pa.table([pa.array([x[0] for x in sent], pa.int32()), pa.array([x[1] for x in sent], pa.binary()), pa.array([x[2] for x in sent], pa.binary())], ["bucket", "run", "copies"])
-
-    def join_windows(rows: pa.Table) -> pa.Table:
-        parts = [unpack(b, 3) for b in rows["run"].to_pylist() if b is not None]
-        doc, pos, first = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
-        o = np.lexsort((pos, doc))
-        doc, pos, first = doc[o], pos[o].astype(np.int64), first[o]
-        new = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(pos) >= MIN_WORDS)]) if len(doc) else np.zeros(0, np.int64)
-        last = np.r_[new[1:], len(doc)] - 1
-        spans = [doc[new], pos[new], pos[last] + MIN_WORDS, np.minimum.reduceat(first, new) if len(new) else first]
-        extra = [[], [], [], []]
-        whole = []
-        for blob in rows["copies"].to_pylist():
-            if blob is not None:
-                members, (n,) = unpack(blob, 2)
-                mine = first[np.searchsorted(doc, members[0]) : np.searchsorted(doc, members[0], "right")]
-                least = min([int(members[0]), *mine.tolist()])
-                if removable:
-                    members = members[1:]  # the first keeps what isn't removed for its own windows
-                whole.append(members[0])
-                for k, v in enumerate((members, np.zeros(len(members), np.int64), np.full(len(members), n), np.full(len(members), least))):
-                    extra[k].append(v)
-        keep = ~np.isin(spans[0], np.array(whole, np.int64))
-        cols = [np.concatenate([s[keep], *e]).astype(np.int64) for s, e in zip(spans, extra, strict=True)]
-        cols = [c[cols[0] != LAST] for c in cols]
-        return pa.table([pa.array(cols[0]), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32)), pa.array(cols[3])], ["doc_id", "start_word", "end_word", "first_doc_id"])
+        if int(rows["bucket"][0].as_py()) >= buckets:
+            return rows
+        sent = [(buckets + b, verdict) for b, verdict in merge_range(rows["run"].to_pylist())]
+        return pa.table([pa.array([b for b, _ in sent], pa.int32()), pa.array([v for _, v in sent], pa.binary()), pa.array([None] * len(sent), pa.binary())], ["bucket", "run", "home"])
+
+    names = ["doc_id", "start_word", "end_word", "first_doc_id", "t", "t2", "copies"]
+
+    def spans_of(rows: pa.Table) -> pa.Table:
+        home = next(x for x in rows["home"].to_pylist() if x is not None)
+        columns = bucket_spans(home, [x for x in rows["run"].to_pylist() if x is not None], removable)
+        return pa.table([pa.array(c) for c in columns], names)
 
     merged = sorted_runs.groupBy("bucket").applyInArrow(merge_runs, shape)
-    return merged.groupBy("bucket").applyInArrow(join_windows, "doc_id long, start_word int, end_word int, first_doc_id long")
+    spans = written(merged.groupBy("bucket").applyInArrow(spans_of, ", ".join(f"{n} long" for n in names)), "spans")
+    places = [F.col("start_word").cast("int"), F.col("end_word").cast("int"), F.col("first_doc_id")]
+    # copies are named where they lie: a text that a third of all rows hold gathers nowhere
+    whole = spans.where("copies > 1").withColumnRenamed("doc_id", "least")
+    copies = with_keys(named.select("doc_id", "t", "t2"), whole, ["t", "t2"], "copies", total)
+    if removable:
+        copies = copies.where("doc_id <> least")  # the first keeps what isn't removed for its own windows
+    return spans.where("copies = 0").select("doc_id", *places).unionByName(copies.select("doc_id", *places)).where(F.col("doc_id") != LAST)
 
 
 def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 
 import duckdb
+import numpy as np
 import pyarrow.orc
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +65,36 @@ def test_lines_odd(spark):
     assert line_runs.line_dedup(odd(spark).limit(0)).count() == 0
 
 
+def test_line_runs_are_not_sorted_again(spark, tmp_path):
+    before = {t.name for t in spark.catalog.listTables()}
+    runs = line_runs.SortedRuns(spark, fanout=2, buckets=4)
+    firsts = lambda a, z: spark.range(a, z).select(F.xxhash64("id").alias("h1"), F.xxhash64(F.lit("x"), "id").alias("h2")).groupBy("h1", "h2").agg(F.min(F.struct(F.lit(1).alias("id"), F.lit(0).alias("t"), F.lit(0).alias("pos"))).alias("f")).select("h1", "h2", "f.*")
+    runs.add(firsts(0, 500))
+    spark.conf.set(line_runs._ORDERED, "true")
+    try:
+        plan = runs.new(firsts(400, 600))._jdf.queryExecution().sparkPlan().toString() + str(runs.new(firsts(400, 600))._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset(line_runs._ORDERED)
+    run_side = plan[plan.rindex("SortMergeJoin") :]
+    run_side = run_side[run_side.index("FileScan") - 200 :]
+    assert "Bucketed: true" in run_side and "Sort [" not in run_side and "Exchange" not in run_side
+    runs.add(firsts(400, 600))
+    assert len(runs.levels[0]) == 0 and len(runs.levels[1]) == 1
+    assert runs.close().count() == 600
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_a_line_batch_reads_its_own_rows(spark, tmp_path):
+    spark.range(4000).selectExpr("id AS doc_id", "concat('line ', id) AS text").repartitionByRange(8, "doc_id").write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    seen = []
+    store = line_runs.SortedRuns._store
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(line_runs.SortedRuns, "_store", lambda self, rows, level: (seen.append(str(rows._jdf.queryExecution().executedPlan())), store(self, rows, level))[1])
+        assert line_runs.line_dedup(docs, batches=4, fanout=9).count() == 4000
+    assert len(seen) == 4 and all("LessThanOrEqual(doc_id" in p or "GreaterThan(doc_id" in p for p in seen)
+
+
 def test_suffixes_brute_force(spark):
     rnd = random.Random(5)
     base = [f"w{rnd.randrange(4000)}" for _ in range(6000)]
@@ -107,6 +138,32 @@ def test_suffixes_odd(spark):
     assert suffix_runs.repeated_passages(odd(spark).limit(0)).count() == 0
 
 
+def test_a_passage_in_every_document(spark):
+    rnd = random.Random(4)
+    shared = [f"s{k}" for k in range(80)]
+    rows = [(i, [f"a{i}x{k}" for k in range(rnd.randrange(60))] + shared + [f"b{i}"]) for i in range(400)]
+    rows += [(1000 + k, rows[7][1]) for k in range(300)]
+    df = documents(spark, [(i, " ".join(w), "en") for i, w in rows], extra=False)
+    entries = []
+    got = {(r.doc_id, r.start_word, r.end_word, r.first_doc_id) for r in suffix_runs.repeated_passages(df, 40_000).collect()}
+    want = {(i, w.index("s0"), w.index("s0") + 80, 0) for i, w in rows if i < 1000 and i != 7} | {(i, 0, len(rows[7][1]), 0) for i in (7, *range(1000, 1300))}
+    assert got == want
+    # what a merge range gets of a suffix is one entry a bucket, and of an anchor one row a batch
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array(range(400), pa.int64()), pa.array([" ".join(w) for _, w in rows[:400]])], ["t", "text"])
+    found = suffix_runs.find_anchors(batch).to_pydict()
+    together = [h for h, s in zip(found["h"], found["spread"], strict=True) if s == 0]
+    assert len(together) == len(set(together)) and sum(found["sure"]) >= 400
+    for bucket in (0, 1):
+        docs_ = [(i * 2 + bucket, k) for i in range(300) for k in range(3)]
+        doc, pos = (np.array(x) for x in zip(*docs_, strict=True))
+        key, _, count, _ = suffix_runs.run_of(np.tile(np.arange(3, dtype=np.uint32)[:, None], (300, suffix_runs.DEPTH)).reshape(900, -1), doc, pos)
+        entries.append(len(key))
+        assert count.tolist() == [300] * 3
+    assert entries == [3, 3]
+
+
 def test_suffix_removal(spark):
     rnd = random.Random(9)
     x, y, z, own = ([f"{c}{rnd.randrange(10**6)}" for _ in range(70)] for c in "xyzo")
