@@ -28,6 +28,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 2**64)
 #: A batch is cut at document borders into chunks of about this many bytes.
 CHUNK_BYTES = 1 << 21
+#: Words are found in pieces of so many bytes.
+PIECE_BYTES = 1 << 20
 _tables = [np.ones(1, U), np.ones(1, U)]
 #: Blocks of scripts written without spaces: Thai, Lao, Myanmar, Khmer, Tai, Balinese, Javanese, Han, kana, bopomofo, Yi.
 _UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x302F), (0x3031, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B16F), (0x20000, 0x3FFFD)]
@@ -38,7 +40,7 @@ _kinds: list[np.ndarray] = []
 def _powers(n: int) -> list[np.ndarray]:
     """Powers 0..n-1 of the hash base and of its inverse, modulo 2**64."""
     if len(_tables[0]) < n:
-        n = max(n, CHUNK_BYTES + (1 << 18))
+        n = max(n, PIECE_BYTES + 1)
         for k, base in enumerate((_BASE, _INVERSE)):
             t = np.full(n, base, U)
             t[0] = 1
@@ -107,29 +109,58 @@ def _by_script(raw: np.ndarray, word: np.ndarray, edge: np.ndarray) -> None:
 
 
 class Words:
-    """Words of a chunk: hash, first byte, end byte and row of each; ``first[r]:first[r + 1]`` are row r's words. ``scripts``: see above."""
+    """Words of a chunk: hash, first byte, end byte and row of each; ``first[r]:first[r + 1]`` are row r's words. ``scripts``: see above.
+
+    Bytes are gone through in pieces, so that a long row needs memory for its words
+    alone; a word that a piece's end cuts is put together again.
+    """
 
     __slots__ = ("hash", "start", "end", "row", "first")
 
     def __init__(self, raw: np.ndarray, offsets: np.ndarray, scripts: bool = False):
         n = len(raw)
-        rows = len(offsets) - 1
-        edge = np.zeros(n + 2, bool)
-        word = np.zeros(n + 2, bool)
-        word[1:-1] = _IS_WORD[raw]
-        edge[offsets + 1] = True
-        if scripts:
-            _by_script(raw, word, edge)
-        before = word[:-1] & ~edge[1:]  # the byte before, within the same row
-        self.start = np.flatnonzero(word[1:-1] & ~before[:-1])
-        after = word[1:] & ~edge[1:]
-        self.end = np.flatnonzero(word[1:-1] & ~after[1:]) + 1 if n else np.zeros(0, np.int64)
-        power, inverse = _powers(n + 1)
-        total = np.zeros(n + 1, U)
-        np.cumsum(_VALUES[raw] * power[:n], out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * inverse[self.start])
+        place = np.int32 if n < 2**31 else np.int64
+        sums: list[np.ndarray] = []
+        starts: list[np.ndarray] = []
+        ends: list[np.ndarray] = []
+        a, goes_on = 0, False
+        while a < n:
+            b = min(a + PIECE_BYTES, n)
+            for _ in range(3):  # not within a character
+                if b < n and raw[b] & 0xC0 == 0x80:
+                    b -= 1
+            piece = raw[a:b]
+            m = b - a
+            edge = np.zeros(m + 2, bool)
+            word = np.zeros(m + 2, bool)
+            word[1:-1] = _IS_WORD[piece]
+            edge[offsets[np.searchsorted(offsets, a) : np.searchsorted(offsets, b)] - a + 1] = True
+            if scripts:
+                _by_script(piece, word, edge)
+            before = word[:-1] & ~edge[1:]  # the byte before, within the same row
+            start = np.flatnonzero(word[1:-1] & ~before[:-1])
+            after = word[1:] & ~edge[1:]
+            end = np.flatnonzero(word[1:-1] & ~after[1:]) + 1
+            power, inverse = _powers(m + 1)
+            total = np.zeros(m + 1, U)
+            np.cumsum(_VALUES[piece] * power[:m], out=total[1:])
+            value = (total[end] - total[start]) * inverse[start]
+            if goes_on and len(start) and start[0] == 0 and not edge[1]:
+                done = int(ends[-1][-1]) - int(starts[-1][-1])
+                sums[-1][-1:] += value[:1] * np.array([pow(_BASE, done, 2**64)], U)
+                ends[-1][-1] = a + end[0]
+                start, end, value = start[1:], end[1:], value[1:]
+            if len(start):
+                sums.append(value)
+                starts.append((start + a).astype(place))
+                ends.append((end + a).astype(place))
+            goes_on = bool(ends) and ends[-1][-1] == b and not edge[m + 1]
+            a = b
+        join = lambda parts, kind: parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.zeros(0, kind)
+        self.start, self.end = join(starts, place), join(ends, place)
+        self.hash = mix(join(sums, U))
         self.first = np.searchsorted(self.start, offsets)
-        self.row = np.repeat(np.arange(rows, dtype=np.int32), np.diff(self.first))
+        self.row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(self.first))
 
 
 def grams(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
