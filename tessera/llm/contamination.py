@@ -20,6 +20,9 @@ MIN_WORDS = 10
 SHARD_BYTES = 1 << 22
 #: Benchmark bytes that go to the executors at once; a larger benchmark takes several passes.
 BENCHMARK_BYTES = 8 << 20
+#: Words of one suffix array, and pairs of places that are looked at together.
+SHARD_WORDS = 1 << 20
+PAIRS = 1 << 20
 _SCHEMA = "doc_id long, item_id long, match_words int, doc_word int, item_word int"
 
 
@@ -56,11 +59,11 @@ def suffix_array(h: np.ndarray, row: np.ndarray, depth: int) -> np.ndarray:
 
 
 class Suffixes:
-    """A shard: its words and their suffix array."""
+    """A shard: words and their suffix array."""
 
-    def __init__(self, words: K.Words, depth: int):
-        self.h, self.row, self.n = words.hash, words.row, len(words.hash)
-        self.order = suffix_array(self.h, self.row, depth)
+    def __init__(self, h: np.ndarray, row: np.ndarray, depth: int):
+        self.h, self.row, self.n = h, row, len(h)
+        self.order = suffix_array(h, row, depth)
 
     def word(self, p: np.ndarray, d: int) -> tuple[np.ndarray, np.ndarray]:
         """(word d after p, whether it is in p's row)."""
@@ -77,9 +80,8 @@ class Suffixes:
             hi[act] = np.where(below, hi[act], mid)
         return lo
 
-    def search(self, test: K.Words, least: int) -> tuple[np.ndarray, np.ndarray]:
-        """(test word, training word) of every pair whose next ``least`` words agree, whole and in order."""
-        q = np.flatnonzero(K.grams(test, least)[1])
+    def search(self, test: K.Words, q: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(test word, low, high): the range of the order in which the next ``least`` words are those of the test word, whole and in order."""
         first = self.h[self.order]
         v = test.hash[q]
         lo, hi = np.searchsorted(first, v, "left"), np.searchsorted(first, v, "right")
@@ -91,39 +93,128 @@ class Suffixes:
             v = test.hash[q + d]
             lo, hi = self._bound(lo, hi, v, d, False), self._bound(lo, hi, v, d, True)
         live = lo < hi
-        q, lo, hi = q[live], lo[live], hi[live]
-        size = hi - lo
-        inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        return np.repeat(q, size), self.order[np.repeat(lo, size) + inner]
+        return q[live], lo[live], hi[live]
+
+
+def _expand(lo: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """lo, lo + 1, ... of each range."""
+    return np.repeat(lo, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+
+def _before(words: K.Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a word comes before in the row, its hash or 0)."""
+    has = (at > 0) & (words.row[np.maximum(at - 1, 0)] == words.row[at])
+    return has, np.where(has, words.hash[np.maximum(at - 1, 0)], np.uint64(0))
+
+
+def _left_maximal(train: K.Words, base: int, shard: Suffixes, test: K.Words, q: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(test words, low, high, training words): the pairs that can't be extended to the left, as ranges of the training words.
+
+    The others are tails of these. Each range of equal suffixes is ordered by the word
+    before, which leaves two ranges for a test word, on both sides of its own.
+    """
+    los, of = np.unique(lo, return_inverse=True)
+    his = np.zeros(len(los), np.int64)
+    his[of] = hi
+    size = his - los
+    at = shard.order[_expand(los, size)] + base
+    begin = np.cumsum(size) - size
+    has, word = _before(train, at)
+    o = np.lexsort((word, has, np.repeat(np.arange(len(los)), size)))
+    at, has, word = at[o], has[o], word[o]
+    lo, hi = begin[of], begin[of] + size[of]
+    mine, own = _before(test, q)
+
+    def bound(upper: bool) -> np.ndarray:
+        a, b = lo.copy(), hi.copy()
+        while len(act := np.flatnonzero(a < b)):
+            mid = (a[act] + b[act]) >> 1
+            below = ~has[mid] | (word[mid] < own[act]) | ((word[mid] == own[act]) if upper else False)
+            a[act] = np.where(below, mid + 1, a[act])
+            b[act] = np.where(below, b[act], mid)
+        return a
+
+    left, right = np.where(mine, bound(False), hi), np.where(mine, bound(True), hi)
+    q, lo, hi = np.r_[q, q], np.r_[lo, right], np.r_[left, hi]
+    live = lo < hi
+    return q[live], lo[live], hi[live], at
+
+
+class _Extension:
+    """How far the words after two places agree, by prefix sums of hashes and a binary search; built when first needed."""
+
+    def __init__(self, train: K.Words, test: K.Words):
+        n = max(len(train.hash), len(test.hash)) + 1
+        power = np.full(n, K.U(0xD6E8FEB86659FD93), K.U)
+        power[0] = 1
+        self.power = np.multiply.accumulate(power)
+        self.sums = [self._sums(w) for w in (train, test)]
+
+    def _sums(self, words: K.Words) -> np.ndarray:
+        out = np.zeros(len(words.hash) + 1, K.U)
+        np.cumsum(words.hash * self.power[: len(words.hash)], out=out[1:])
+        return out
+
+    def length(self, p: np.ndarray, q: np.ndarray, least: int, most: np.ndarray) -> np.ndarray:
+        """The largest number of words from ``least`` to ``most`` that agree after training word p and test word q."""
+        a, b = self.sums
+        lo, hi = np.full(len(p), least), most.copy()
+        while len(act := np.flatnonzero(lo < hi)):
+            n = (lo[act] + hi[act] + 1) >> 1
+            i, j = p[act], q[act]
+            same = (a[i + n] - a[i]) * self.power[j] == (b[j + n] - b[j]) * self.power[i]
+            lo[act] = np.where(same, n, lo[act])
+            hi[act] = np.where(same, hi[act], n - 1)
+        return lo
+
+
+def _longest(rows: list[np.ndarray]) -> np.ndarray:
+    """Of (train row, test row, words, train word in row, test word in row) the longest of each pair of rows; ties: the earliest in the training text, then in the test text."""
+    m = np.concatenate([np.zeros((0, 5), np.int64), *rows])
+    m = m[np.lexsort((m[:, 4], m[:, 3], -m[:, 2], m[:, 1], m[:, 0]))]
+    return m[np.r_[True, (m[1:, :2] != m[:-1, :2]).any(1)]] if len(m) else m
 
 
 def longest_matches(train: K.Words, test: K.Words, least: int) -> np.ndarray:
     """Rows (train row, test row, words, train word in row, test word in row): the longest match of each pair of rows.
 
-    Ties: the earliest in the training text, then in the test text.
+    Ties: the earliest in the training text, then in the test text. A long text is cut
+    into shards that overlap by ``least`` - 1 words; matches are extended in the whole
+    text. Pairs of places are gone through in blocks, so that memory doesn't grow with
+    their number.
     """
-    if len(train.hash) < least or len(test.hash) < least:
-        return np.zeros((0, 5), np.int64)
-    q, p = Suffixes(train, least).search(test, least)
-    # only left-maximal pairs: the others are tails of these
-    left = (q > 0) & (p > 0)
-    a, b = np.maximum(q - 1, 0), np.maximum(p - 1, 0)
-    left &= (test.row[a] == test.row[q]) & (train.row[b] == train.row[p]) & (test.hash[a] == train.hash[b])
-    q, p = q[~left], p[~left]
-    size = np.full(len(q), least)
-    act = np.arange(len(q))
-    while len(act):
-        i, j = q[act] + size[act], p[act] + size[act]
-        i2, j2 = np.minimum(i, len(test.hash) - 1), np.minimum(j, len(train.hash) - 1)
-        ok = (i < len(test.hash)) & (j < len(train.hash)) & (test.row[i2] == test.row[q[act]]) & (train.row[j2] == train.row[p[act]]) & (test.hash[i2] == train.hash[j2])
-        act = act[ok]
-        size[act] += 1
-    r, t = train.row[p].astype(np.int64), test.row[q].astype(np.int64)
-    at, it = p - train.first[r], q - test.first[t]
-    o = np.lexsort((it, at, -size, t, r))
-    r, t, size, at, it = (x[o] for x in (r, t, size, at, it))
-    keep = np.r_[True, (r[1:] != r[:-1]) | (t[1:] != t[:-1])] if len(r) else np.zeros(0, bool)
-    return np.stack([r, t, size, at, it], 1)[keep]
+    found: list[np.ndarray] = []
+    starts = np.flatnonzero(K.grams(test, least)[1])
+    extension = None
+    last = len(train.hash) - least + 1
+    for base in range(0, max(last, 0) if len(starts) else 0, SHARD_WORDS):
+        end = min(base + SHARD_WORDS, last) + least - 1
+        shard = Suffixes(train.hash[base:end], train.row[base:end], least)
+        q, lo, hi = shard.search(test, starts, least)
+        if not len(q):
+            continue
+        q, lo, hi, at = _left_maximal(train, base, shard, test, q, lo, hi)
+        extension = extension or _Extension(train, test)
+        done = np.cumsum(hi - lo)
+        k = 0
+        while k < len(q):
+            z = max(k + 1, int(np.searchsorted(done, (done[k - 1] if k else 0) + PAIRS, "right")))
+            size = hi[k:z] - lo[k:z]
+            i, j = at[_expand(lo[k:z], size)], np.repeat(q[k:z], size)
+            r, t = train.row[i].astype(np.int64), test.row[j].astype(np.int64)
+            most = np.minimum(train.first[r + 1] - i, test.first[t + 1] - j)
+            if found:  # pairs that can't beat the best of their rows
+                best = found[0]
+                key = best[:, 0] * len(test.first) + best[:, 1]
+                b = best[np.minimum(np.searchsorted(key, r * len(test.first) + t), len(best) - 1)]
+                x, y = i - train.first[r], j - test.first[t]
+                less = (most < b[:, 2]) | ((most == b[:, 2]) & ((x > b[:, 3]) | ((x == b[:, 3]) & (y >= b[:, 4]))))
+                live = ~((b[:, 0] == r) & (b[:, 1] == t) & less)
+                i, j, r, t, most = i[live], j[live], r[live], t[live], most[live]
+            n = extension.length(i, j, least, most)
+            found = [_longest([*found, np.stack([r, t, n, i - train.first[r], j - test.first[t]], 1)])]
+            k = z
+    return _longest(found)
 
 
 def _parts(benchmark: DataFrame, most: int):
@@ -147,8 +238,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WO
     out = None
     for part in _parts(benchmark, benchmark_bytes):
         raw, offsets = K.buffers(part["text"].combine_chunks())
-        ids = part["item_id"].to_numpy(zero_copy_only=False)
-        ids, null = np.where(np.isnan(ids), 0, ids).astype(np.int64) if ids.dtype.kind == "f" else ids, np.asarray(part["item_id"].is_null())
+        # nulls are filled in Arrow: NumPy has none and would make the ids floating-point
+        ids, null = part["item_id"].fill_null(0).to_numpy(), part["item_id"].is_null().to_numpy(zero_copy_only=False)
         sent = docs.sparkSession.sparkContext.broadcast((raw.copy(), offsets.copy(), ids, null))
 
         def find(b: pa.RecordBatch, sent=sent) -> pa.RecordBatch | None:
