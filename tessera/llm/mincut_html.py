@@ -20,110 +20,144 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, table
+from .common import map_batches, one_text_each, table
 
 #: The classifier is fitted on at most so many pages, chosen by hash of the id; their semantic elements label the blocks.
 FIT_PAGES = 600
 ADJACENT = 1.0
 SIBLING = 0.5
+COUSIN = 0.25
 #: Log-odds that a semantic container adds to its blocks.
 CONTAINER = 2.0
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title|svg|iframe|textarea|select)\b[^>]*>.*?(?:</\1\s*>|\Z)|<![^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>", re.S | re.I)
+#: A comment or an element without text of its own that isn't closed goes on to the end; the last alternative is a tag.
+_TAG = re.compile(r"<!--(?:.*?(-->)|.*)|<(script|style|noscript|template|title|svg|iframe|textarea|select)\b[^>]*>(?:.*?(</\2\s*>)|.*)|<![^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>", re.S | re.I)
 _BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 _AGAINST = frozenset("nav footer aside header form menu button dialog".split())
 _FOR = frozenset("article main".split())
-_HINT = re.compile(r"(?:class|id|role)\s*=\s*[\"']?[^\"'>]*?(?:\b|_)(?:(ads?|advert\w*|banner|nav\w*|menu\w*|sidebar|footer|header|cookie\w*|promo\w*|share|social|related|comments?|breadcrumbs?|sponsor\w*|popup|widget|contentinfo|complementary|navigation)|(article|main|content|post|entry|story|body))(?:\b|_)", re.I)
+#: Values of the attributes that may tell what an element is for; each character is looked at once.
+_NAMED = re.compile(r"(?:class|id|role)\s*=\s*[\"']?([^\"'>]*)", re.I)
+_HINT = re.compile(r"(?:\b|_)(?:(ads?|advert\w*|banner|nav\w*|menu\w*|sidebar|footer|header|cookie\w*|promo\w*|share|social|related|comments?|breadcrumbs?|sponsor\w*|popup|widget|contentinfo|complementary|navigation)|(article|main|content|post|entry|story|body))(?:\b|_)", re.I)
 #: For <p>, <li>, ...: opening one closes one that is open.
 _SELF_CLOSING = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+_LONG_NUMBER = re.compile(r"&#0*[1-9][0-9]{9,};?")
 _WORD_END = re.compile(r"[.!?:;,]")
 FEATURES = ("bias", "log words", "link share", "marks per word", "p", "heading", "li", "hint")
 #: Used where the sample has no semantic elements to learn from.
 DEFAULT = np.array([-2.0, 0.9, -3.0, 2.0, 1.0, 1.5, -0.5, 2.0])
 
 
-def blocks(page: str) -> list[tuple[str, str, int, int, int, int]]:
-    """(text, element, parent, linked characters, container: 1 content / -1 boilerplate / 0, hint alike) of each block of text."""
+def decoded(text: str) -> str:
+    """``html.unescape``, also of numbers that are too long for Python to read (as other numbers beyond Unicode, they become U+FFFD)."""
+    try:
+        return entities.unescape(text)
+    except ValueError:
+        return entities.unescape(_LONG_NUMBER.sub("&#x110000;", text))
+
+
+def _named(attributes: str) -> int:
+    """1 for content, -1 for boilerplate, 0 for neither, by the first hint in a class, id or role."""
+    for value in _NAMED.finditer(attributes):
+        if h := _HINT.search(value[1]):
+            return -1 if h[1] else 1
+    return 0
+
+
+def blocks(page: str) -> list[tuple[str, str, int, int, int, int, int]]:
+    """(text, element, parent, linked characters, container: 1 content / -1 boilerplate / 0, hint alike, grandparent) of each block of text, in time linear in the page."""
     out = []
     stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]  # element, number, container, hint
     number = 0
     text: list[str] = []
     linked = links = 0
     here = stack[0]
-    parent = 0
+    parent = grandparent = 0
 
     def flush():
         nonlocal linked
         if text:
             joined = "".join(text)
             if "&" in joined:
-                joined = entities.unescape(joined)
+                joined = decoded(joined)
             joined = " ".join(joined.split())
             if joined:
-                out.append((joined, here[0], parent, linked, here[2], here[3]))
+                out.append((joined, here[0], parent, linked, here[2], here[3], grandparent))
             text.clear()
         linked = 0
 
     at = 0
-    for m in _TAG.finditer(page):
+    opened: dict[str, int] = {}  # how often each element is on the stack
+    # nothing after the last ">" can be a tag; a comment or script that is open there ends the text
+    end = page.rfind(">") + 1
+    tail = page.find("<!--", end)
+    for m in _TAG.finditer(page, 0, end):
         if m.start() > at:
             piece = page[at : m.start()]
             text.append(piece)
             if links:
                 linked += len(piece)
         at = m.end()
-        name = m[3]
+        name = m[5]
         if name is None:
+            if at == end and not m[1] and not m[3] and (m[2] or page.startswith("<!--", m.start())):
+                tail = end
             continue
         name = name.lower()
         if name not in _BLOCK:
             if name == "a":
-                links = 0 if m[2] else 1
+                links = 0 if m[4] else 1
             elif name == "br":
                 text.append(" ")
             continue
-        flush()
-        links = 0
-        if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
+        if text:
+            flush()
+        linked = links = 0
+        if m[4]:
+            while opened.get(name):  # each pop undoes one push, so closing tags take no longer than opening ones
+                gone = stack.pop()[0]
+                opened[gone] -= 1
+                if gone == name:
                     break
         elif name != "hr":
             closes = _SELF_CLOSING.get(name)
             if closes and stack[-1][0] in closes:
-                stack.pop()
+                opened[stack.pop()[0]] -= 1
             number += 1
             container, hint = stack[-1][2], stack[-1][3]
             if name in _AGAINST:
                 container = -1
             elif name in _FOR:
                 container = 1
-            if m[4] and (h := _HINT.search(m[4])):
-                hint = -1 if h[1] else 1
+            if m[6]:
+                hint = _named(m[6]) or hint
             stack.append((name, number, container, hint))
+            opened[name] = opened.get(name, 0) + 1
         here = stack[-1]
         parent = stack[-2][1] if len(stack) > 1 else 0
-    if at < len(page):
-        text.append(page[at:])
+        grandparent = stack[-3][1] if len(stack) > 2 else 0
+    last = len(page) if tail < 0 else tail
+    if at < last:
+        text.append(page[at:last])
+        if links:
+            linked += last - at
     flush()
     return out
 
 
 def features(bs: list) -> np.ndarray:
     x = np.zeros((len(bs), len(FEATURES)))
-    for k, (text, name, _, linked, _, hint) in enumerate(bs):
+    for k, (text, name, _, linked, _, hint, _) in enumerate(bs):
         words = text.count(" ") + 1
         x[k] = (1, math.log1p(words), min(linked / len(text), 1), min(len(_WORD_END.findall(text)) / words, 1), name == "p", name[0:1] == "h" and name[1:2].isdigit(), name == "li", hint)
     return x
 
 
 def fit(pages: DataFrame, limit: int = FIT_PAGES) -> np.ndarray:
-    """Weights of a logistic regression of "inside article or main" against "inside nav, footer, aside..." on the block features."""
+    """Of at most ``limit`` pages with different ids, the weights of a logistic regression of "inside article or main" against "inside nav, footer, aside..." on the block features."""
     rows = pages.where("html IS NOT NULL").select(F.col("page_id").cast("long").alias("page_id"), F.xxhash64("page_id").alias("__h"))
-    chosen = [r.page_id for r in rows.orderBy("__h", "page_id").limit(limit).collect() if r.page_id is not None]
+    chosen = [r.page_id for r in rows.where("page_id IS NOT NULL").distinct().orderBy("__h", "page_id").limit(limit).collect()]
     if not chosen:
         return DEFAULT
-    sample = pages.where(F.col("page_id").isin(chosen)).select("html").where("html IS NOT NULL").toArrow()["html"].to_pylist()
+    sample = one_text_each(pages.select(F.col("page_id").alias("doc_id"), F.col("html").alias("text")), chosen)["text"].to_pylist()
     labelled = [b for page in sample for b in blocks(page) if b[4]]
     y = np.array([b[4] > 0 for b in labelled], float)
     if not len(y) or y.min() == y.max():
@@ -233,17 +267,18 @@ def min_cut(cost: list[float], edges: list[tuple[int, int, float]]) -> list[bool
 
 
 def graph(bs: list) -> list[tuple[int, int, float]]:
-    """Smoothness edges: neighbouring blocks, and consecutive blocks of one parent element."""
-    edges: dict[tuple[int, int], float] = {}
-    last: dict[int, int] = {}
+    """Smoothness edges: neighbouring blocks, and blocks that are close in the DOM (consecutive ones of one parent, or of one grandparent, element)."""
+    edges = []
+    by_parent: dict[int, int] = {}
+    by_grandparent: dict[int, int] = {}
     for k, b in enumerate(bs):
-        if k:
-            edges[k - 1, k] = ADJACENT
-        j = last.get(b[2])
-        if j is not None:
-            edges[j, k] = edges.get((j, k), 0.0) + SIBLING
-        last[b[2]] = k
-    return [(a, b, w) for (a, b), w in edges.items()]
+        tie = {k - 1: ADJACENT} if k else {}
+        for last, element, weight in ((by_parent, b[2], SIBLING), (by_grandparent, b[6], COUSIN)):
+            if (j := last.get(element)) is not None:
+                tie[j] = tie.get(j, 0.0) + weight
+            last[element] = k
+        edges += [(j, k, w) for j, w in tie.items()]
+    return edges
 
 
 def main_text(page: str, weights: np.ndarray) -> tuple[str, int, int]:
