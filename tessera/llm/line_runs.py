@@ -10,14 +10,15 @@ rewritten once per level, log(batches) times in all.
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LAST, id_text, shared_dir, table
+from .common import LAST, id_text, remove, shared_dir, table, union
 
 _BLANK = " \t\r"
+#: A bucketed scan reports the order of its files where each bucket is one file.
+_ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def _trim(line: Column) -> Column:
@@ -25,36 +26,56 @@ def _trim(line: Column) -> Column:
 
 
 class SortedRuns:
-    """The levels. ``add`` is one batch; ``rows`` are all first occurrences so far (h1, h2, id, t, pos)."""
+    """The levels. ``add`` is one batch; ``rows`` are all first occurrences so far (h1, h2, id, t, pos).
+
+    A run has one file a bucket, sorted by the hash, and its scan says so, so a join
+    neither shuffles nor sorts it. Tables are only named in the catalogue while
+    batches are added (``close`` takes the names away); a compacted run's files go.
+    """
 
     def __init__(self, spark: SparkSession, fanout: int = 4, buckets: int | None = None):
         self.spark, self.fanout = spark, fanout
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[list[str]] = []
+        self.levels: list[list[tuple[str, str]]] = []
 
     def _store(self, rows: DataFrame, level: int) -> None:
-        name = f"line_run_{uuid.uuid4().hex}"
-        rows.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", shared_dir(self.spark, "line-run")).saveAsTable(name)
+        name, path = f"line_run_{uuid.uuid4().hex}", shared_dir(self.spark, "line-run")
+        old = self.spark.conf.get(_ORDERED, None)
+        self.spark.conf.set(_ORDERED, "true")
+        try:
+            rows.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", path).saveAsTable(name)
+        finally:
+            self.spark.conf.unset(_ORDERED) if old is None else self.spark.conf.set(_ORDERED, old)
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(name)
+        self.levels[level].append((name, path))
 
-    def add(self, firsts: DataFrame) -> None:
-        for name in [n for level in self.levels for n in level]:
+    def new(self, firsts: DataFrame) -> DataFrame:
+        """Those whose hash no run has."""
+        for name, _ in [run for level in self.levels for run in level]:
             firsts = firsts.join(self.spark.table(name).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
-        self._store(firsts, 0)
+        return firsts
+
+    def add(self, firsts: DataFrame) -> None:
+        self._store(self.new(firsts), 0)
         level = 0
         while len(self.levels[level]) >= self.fanout:
-            names = self.levels[level]
-            merged = reduce(DataFrame.unionByName, [self.spark.table(n) for n in names]).repartition(self.buckets, "h1", "h2")
+            runs = self.levels[level]
+            merged = union([self.spark.table(n) for n, _ in runs]).repartition(self.buckets, "h1", "h2")
             self._store(merged, level + 1)
             self.levels[level] = []
-            for n in names:
-                self.spark.sql(f"DROP TABLE {n}")
+            for name, path in runs:
+                self.spark.sql(f"DROP TABLE {name}")
+                remove(self.spark, path)
             level += 1
 
-    def rows(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, [self.spark.table(n) for level in self.levels for n in level])
+    def close(self) -> DataFrame:
+        """``rows`` of the files alone."""
+        runs = [run for level in self.levels for run in level]
+        out = union([self.spark.read.schema(self.spark.table(n).schema).parquet(p) for n, p in runs])
+        for name, _ in runs:
+            self.spark.sql(f"DROP TABLE {name}")
+        return out
 
 
 def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFrame:
@@ -70,21 +91,23 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFrame:
     size; the result doesn't depend on their number.
     """
     spark = docs.sparkSession
-    base = id_text(docs).withColumn("key", F.coalesce("doc_id", F.lit(LAST))).withColumn("t", F.xxhash64("text"))
-    cuts = base.select("key").approxQuantile("key", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
+    texts = id_text(docs)
+    named = lambda d: d.withColumn("key", F.coalesce("doc_id", F.lit(LAST))).withColumn("t", F.xxhash64("text"))
+    cuts = texts.select("doc_id").approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     edges = [None, *sorted({int(c) for c in cuts if c < 2**62}), None]
     runs = SortedRuns(spark, fanout)
     for low, high in zip(edges, edges[1:], strict=False):
-        part = base
+        # on the bare column, so that the scan skips files and row groups of other batches
+        part = texts
         if low is not None:
-            part = part.where(F.col("key") > low)
+            part = part.where((F.col("doc_id") > low) if high is not None else (F.col("doc_id") > low) | F.col("doc_id").isNull())
         if high is not None:
-            part = part.where(F.col("key") <= high)
-        lines = part.select("key", "t", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("key", "t", "pos", _trim(F.col("line")).alias("line")).where("line != ''")
+            part = part.where(F.col("doc_id") <= high)
+        lines = named(part).select("key", "t", F.posexplode(F.split("text", "\n")).alias("pos", "line")).select("key", "t", "pos", _trim(F.col("line")).alias("line")).where("line != ''")
         # two independent 64-bit hashes: 128 bits keep collisions out of reach at 10^12 lines
         firsts = lines.groupBy(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("second"), "line").alias("h2")).agg(F.min(F.struct("key", "t", "pos")).alias("first"))
         runs.add(firsts.select("h1", "h2", F.col("first.key").alias("id"), F.col("first.t").alias("t"), F.col("first.pos").alias("pos")))
-    kept = runs.rows().groupBy("id", "t").agg(F.collect_list("pos").alias("kept"))
+    kept = runs.close().groupBy("id", "t").agg(F.collect_list("pos").alias("kept"))
     lines = F.split("text", "\n")
 
     def rebuilt(s: Column) -> Column:
@@ -96,7 +119,7 @@ def line_dedup(docs: DataFrame, batches: int = 4, fanout: int = 2) -> DataFrame:
     n = F.coalesce(F.size(F.filter(lines, lambda x: _trim(x) != "")), F.lit(0))
     n = F.when(F.col("text").isNull(), 0).otherwise(n)
     k = F.coalesce(F.size("kept"), F.lit(0))
-    return base.join(kept.withColumnRenamed("id", "key"), ["key", "t"], "left").select(
+    return named(texts).join(kept.withColumnRenamed("id", "key"), ["key", "t"], "left").select(
         "doc_id", F.when(F.col("text").isNull() | (n == k), F.col("text")).otherwise(text).alias("text"), n.cast("long").alias("n_lines"), (n - k).cast("long").alias("n_removed")
     )
 
