@@ -18,11 +18,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import fresh, id_text, map_batches, table, written
+from .common import fresh, id_text, map_batches, table, with_keys, written
 
 SHINGLE = 2
 #: A pair at the threshold meets in a band with a probability of 0.91, one of 0.7 in similarity with 0.996.
@@ -97,10 +97,10 @@ def _hash_runs(values: np.ndarray, starts: np.ndarray, salt: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, bag1, bag2, bands): 128 bits that name the multiset, and a hash of each band; a text without words has no row."""
+    """(doc_id, t, n, bag1, bag2, bands): a hash of the text, the number of shingles, 128 bits that name the multiset, and a hash of each band; a text without words has no row."""
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch | None:
-        ids, one, two, keys = [], [], [], []
+        ids, size, one, two, keys = [], [], [], [], []
         raw, offsets = K.buffers(b.column("text"))
         for k, r, o in K.chunks(raw, offsets):
             row, g, c = bags(K.Words(r, o, scripts=True))
@@ -112,6 +112,7 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
             has = row[starts]
             item = K.mix(g ^ K.mix(c.astype(np.uint64)))
             ids.append(has + k)
+            size.append(np.add.reduceat(c, starts))
             one.append(_hash_runs(item, starts, 1))
             two.append(_hash_runs(item, starts, 2))
             bits = sig[has].reshape(len(has) * bands, rows).view(np.uint64)
@@ -124,9 +125,10 @@ def sketch(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
         ids = np.concatenate(ids)
         i64 = lambda x: pa.array(np.concatenate(x).view(np.int64))
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(ids) * bands + 1, bands, dtype=np.int32)), i64(keys))
-        return pa.record_batch([b.column("doc_id").take(pa.array(ids)), i64(one), i64(two), lists], ["doc_id", "bag1", "bag2", "bands"])
+        at = pa.array(ids)
+        return pa.record_batch([b.column("doc_id").take(at), b.column("t").take(at), pa.array(np.concatenate(size).astype(np.int64)), i64(one), i64(two), lists], ["doc_id", "t", "n", "bag1", "bag2", "bands"])
 
-    return map_batches(id_text(docs), each, "doc_id long, bag1 long, bag2 long, bands array<long>")
+    return map_batches(docs, each, "doc_id long, t long, n long, bag1 long, bag2 long, bands array<long>")
 
 
 def multisets(docs: DataFrame) -> DataFrame:
@@ -166,26 +168,74 @@ def _verified(edges: DataFrame, bag: DataFrame) -> DataFrame:
     return map_batches(pairs, each, "a long, b long, similarity double")
 
 
+def _with_least(edges: DataFrame, total: int) -> DataFrame:
+    """(u, v, m): m is the smallest v of u; however many edges a node has, they stay where they are."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    return with_keys(edges.select("u", "v"), least, ["u"], "n", total).select("u", "v", "m")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component, by alternating large and small stars; every round is a written table."""
-    edges = written(edges.select("a", "b").where("a <> b").distinct(), "edges")
+    edges = written(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
+    state = edges.agg(F.count(F.lit(1)), F.lit(0)).first()
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = F.least("a", F.min("b").over(Window.partitionBy("a")))
-        large = both.select("a", "b", least.alias("m")).where("b > a").select(F.col("m").alias("a"), "b").where("a <> b").distinct()
-        down = large.select(F.col("b").alias("u"), F.col("a").alias("v"))
-        m = F.min("v").over(Window.partitionBy("u"))
-        small = down.select("u", "v", m.alias("m"))
-        small = small.select(F.col("m").alias("a"), F.col("u").alias("b")).unionByName(small.select(F.col("m").alias("a"), F.col("v").alias("b"))).where("a <> b").distinct()
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _with_least(both, 2 * state[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v").distinct()
+        large = written(large, "edges")
+        small = _with_least(large, large.count())
+        small = small.select("u", F.col("m").alias("v")).unionByName(small.select(F.col("v").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
         edges = written(small, "edges")
         # sums over hashes tell whether a round changed the edges
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
-            return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
 
 
+def _grouped(docs: DataFrame, threshold: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, t, n, bag1, bag2, bands) of the rows that stand for their documents, (node, root) of all documents that aren't their group's smallest)."""
+    known = id_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("t", F.xxhash64("text"))
+    flat = written(sketch(known, bands, rows), "sketch")
+    several = flat.groupBy("doc_id").agg(F.min(F.struct("bag1", "bag2")).alias("bag"), F.max(F.struct("bag1", "bag2")).alias("other")).where("bag <> other").drop("other")
+    if not several.isEmpty():  # of an id's texts the one with the smallest multiset's hash stands, whichever row came first
+        stands = (F.col("bag").isNull()) | ((F.col("bag.bag1") == F.col("bag1")) & (F.col("bag.bag2") == F.col("bag2")))
+        flat = written(flat.join(several.hint("merge"), "doc_id", "left").where(stands).drop("bag"), "sketch")
+    total = flat.count()
+    bag_of = flat.groupBy("bag1", "bag2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    same = with_keys(flat.select("doc_id", "bag1", "bag2"), bag_of.where("copies > 1"), ["bag1", "bag2"], "copies", total).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    reps = flat.groupBy("bag1", "bag2").agg(F.min_by(F.struct("bands", "t", "n"), "doc_id").alias("x"), F.min("doc_id").alias("node")).select("node", "x.*")
+    reps = written(reps, "nodes")
+    bucket = reps.select("node", "n", F.explode("bands").alias("key"))
+    hubs = bucket.groupBy("key").agg(F.min(F.struct("node", "n")).alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1").select("key", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), "size")
+    member = written(with_keys(bucket, hubs, ["key"], "size", total * bands), "buckets")
+    # the sizes alone rule out a pair: the overlap is at most the smaller one, the union at least the larger
+    may = lambda x, y: F.least(x, y) >= F.lit(threshold - 1e-9) * F.greatest(x, y)
+    star = member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"), may("hub_n", "n").alias("may")).distinct()
+    near = star.where("may").select("a", "b")
+    wanted = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    wanted = written(wanted.join(reps.select("node", "t").hint("merge"), "node"), "wanted")
+    bag = written(_bags_of(known, wanted), "bags")
+    first = written(_verified(near, bag), "verified")
+    # nodes that aren't like their bucket's hub are compared with all its other nodes of a size that may fit
+    failed = first.where(F.col("similarity") < threshold).select(F.col("a").alias("hub"), F.col("b").alias("left")).unionByName(star.where("NOT may").select(F.col("a").alias("hub"), F.col("b").alias("left")))
+    again = member.select("key", "hub", F.col("node").alias("left"), F.col("n").alias("left_n")).join(failed, ["hub", "left"])
+    others = member.select("key", F.col("node").alias("right"), "n").where("right <> hub")
+    more = again.join(others, "key").where((F.col("left") != F.col("right")) & may("left_n", "n")).select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b")).distinct()
+    more = written(more.join(near, ["a", "b"], "left_anti"), "more")
+    late = more.select(F.col("a").alias("node")).unionByName(more.select(F.col("b").alias("node"))).distinct().join(wanted.select("node").hint("merge"), "node", "left_anti")
+    if not late.isEmpty():  # nodes whose size didn't fit their hub's
+        bag = bag.unionByName(written(_bags_of(known, late.join(reps.select("node", "t").hint("merge"), "node")), "bags"))
+    edges = first.unionByName(_verified(more, bag)).where(F.col("similarity") >= threshold).select("a", "b").unionByName(same)
+    return flat, components(edges)
+
+
+def _bags_of(known: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, bag) of the texts (node, t)."""
+    w = wanted.select(F.col("node").alias("w_id"), F.col("t").alias("w_t"))
+    return multisets(known.join(w.hint("merge"), (known["doc_id"] == w["w_id"]) & (known["t"] == w["w_t"]), "left_semi").select("doc_id", "text")).dropDuplicates(["doc_id"])
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(doc_id, group_id) of every document that has a near copy; group_id is the group's smallest doc_id.
 
@@ -193,37 +243,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     weighted Jaccard similarity of ``threshold`` at least. Documents whose
     multisets are equal always are one group. Texts without words (null, empty)
     belong to no group, nor do rows with a null doc_id; rows of one doc_id are
-    one document, of which any row's text may stand for it.
+    one document, for which the text with the smallest hash of its multiset stands.
     """
-    known = id_text(docs).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    flat = written(sketch(known, bands, rows), "sketch")
-    by_bag = Window.partitionBy("bag1", "bag2")
-    named = flat.select("doc_id", "bag1", "bag2").withColumn("rep", F.min("doc_id").over(by_bag))
-    same = named.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    reps = flat.groupBy("bag1", "bag2").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("node"))
-    bucket = reps.select("node", F.explode("bands").alias("key"))
-    hub = F.min("node").over(Window.partitionBy("key"))
-    member = written(bucket.select("key", "node", hub.alias("hub")).withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("key"))).where("size > 1").select("key", "node", "hub"), "buckets")
-    star = member.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    wanted = star.select(F.col("a").alias("id")).unionByName(star.select(F.col("b").alias("id"))).distinct()
-    bag = written(multisets(known.join(wanted.hint("merge"), known["doc_id"] == wanted["id"], "left_semi")).dropDuplicates(["doc_id"]), "bags")
-    first = written(_verified(star, bag), "verified")
-    # nodes that aren't like their bucket's hub are compared with all its other nodes
-    failed = first.where(F.col("similarity") < threshold).select(F.col("a").alias("hub"), F.col("b").alias("left"))
-    again = member.withColumnRenamed("node", "left").join(failed, ["hub", "left"])
-    others = member.select("key", F.col("node").alias("right")).where("right <> hub")
-    more = again.join(others, "key").where("left <> right").select(F.least("left", "right").alias("a"), F.greatest("left", "right").alias("b")).distinct()
-    more = more.join(star, ["a", "b"], "left_anti")
-    edges = first.unionByName(_verified(more, bag)).where(F.col("similarity") >= threshold).select("a", "b").unionByName(same)
-    found = components(edges)
+    _, found = _grouped(docs, threshold, bands, rows)
     return found.select(F.col("node").alias("doc_id"), F.col("root").alias("group_id")).unionByName(found.select(F.col("root").alias("doc_id"), F.col("root").alias("group_id")).distinct())
 
 
-def drop_near_duplicates(docs: DataFrame, **kw) -> DataFrame:
-    """The documents, of each group only the one with the smallest doc_id; all columns. Of repeated rows of one doc_id all stay or go."""
-    mark = fresh(docs, "__gone")
-    gone = near_duplicates(docs, **kw).where("doc_id <> group_id").select(F.col("doc_id").alias(mark))
-    return docs.join(gone.hint("merge"), docs["doc_id"] == gone[mark], "left_anti")
+def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """The documents, of each group only the one with the smallest doc_id; all columns.
+
+    Of repeated rows of one doc_id all stay or go. Rows of a doc_id whose text isn't
+    the one that stands for it, and rows without an id, were not compared and stay.
+    """
+    flat, found = _grouped(docs, threshold, bands, rows)
+    mark, text = fresh(docs, "__gone"), fresh(docs, "__gone_text")
+    gone = flat.select(F.col("doc_id").alias(mark), F.col("t").alias(text)).join(found.select(F.col("node").alias(mark)).hint("merge"), mark, "left_semi")
+    return docs.join(gone.hint("merge"), (docs["doc_id"] == gone[mark]) & (F.xxhash64(docs["text"]) == gone[text]), "left_anti")
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
