@@ -35,7 +35,7 @@ def encoder(path: str = VOCABULARY):
 
 
 def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, n_tokens, tokens) of every row, in doc_id order within its partition; a null text has null tokens and null n_tokens, an empty one none and 0."""
+    """(doc_id, n_tokens, tokens) of every row, partition by partition in its order; a null text has null tokens and null n_tokens, an empty one none and 0."""
 
     def each(b: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(vocabulary)
@@ -52,13 +52,20 @@ def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         offsets = pa.array(ends.astype(np.int32), mask=np.r_[null, False]) if null.any() else pa.array(ends.astype(np.int32))
         return pa.record_batch([b.column("doc_id"), pa.array(size[1:], pa.int64(), mask=null), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["doc_id", "n_tokens", "tokens"])
 
-    return map_batches(id_text(docs).sortWithinPartitions("doc_id"), each, "doc_id long, n_tokens long, tokens array<int>")
+    return map_batches(docs, each, "doc_id long, n_tokens long, tokens array<int>")
 
 
-def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY) -> None:
-    """ORC files whose readers skip stripes and row groups by the doc_id statistics and Bloom filters, and split at stripes."""
+def write_tokens(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, ranged: bool = False) -> None:
+    """ORC files whose readers skip stripes and row groups by the doc_id statistics and Bloom filters, and split at stripes.
+
+    Rows are in doc_id order within a file. ``ranged`` also gives the files ranges of doc_id of
+    their own, so that statistics rule out whole files; it moves every text once, and
+    without it the Bloom filters rule out what the overlapping ranges don't.
+    """
+    rows = id_text(docs)
+    rows = (rows.repartitionByRange("doc_id") if ranged else rows).sortWithinPartitions("doc_id")
     (
-        tokenized(docs, vocabulary)
+        tokenized(rows, vocabulary)
         .write.option("orc.compress", "NONE")  # run-length-encoded identifiers hardly compress further
         .option("orc.stripe.size", STRIPE_BYTES)
         .option("orc.create.index", "true")
