@@ -250,6 +250,40 @@ def test_contamination_brute_force(spark):
     assert contamination.contamination(odd(spark).limit(0), bench).count() == 0
 
 
+def test_long_texts_take_linear_time_and_little_memory(tmp_path):
+    """1 MB and 20 MB of one thing, in a process of its own: below 10 s and 1 GB each (words, matches, n-grams, pages)."""
+    import pathlib
+    import subprocess
+    import sys
+
+    code = """
+import resource, sys, time
+import numpy as np, pyarrow as pa
+from tessera.llm import contamination, kernel, language, mincut_html, mixing
+text = {"spaces": " ", "less": "<", "word": "q ", "tag": "<p>", "letter": "a", "script": "\u4e2d"}[sys.argv[1]]
+text = text * (int(sys.argv[2]) // len(text.encode()))
+raw, offsets = kernel.buffers(pa.array([text]))
+item = kernel.Words(*kernel.buffers(pa.array(["q " * 1000])), scripts=True)
+f = language.Filter(["a", "b", "c", "d"])
+steps = {
+    "matches": lambda: contamination.longest_matches(kernel.Words(raw, offsets, scripts=True), item, 10),
+    "grams": lambda: f.shares(raw, offsets, f.rates(), np.zeros(1)),
+    "features": lambda: mixing.features(raw, offsets),
+    "page": lambda: mincut_html.main_text(text, mincut_html.DEFAULT),
+}
+before = time.time()
+steps[sys.argv[3]]()
+print(time.time() - before, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+"""
+    root = pathlib.Path(__file__).parents[2]
+    for size in (1 << 20, 20 << 20):
+        for kind, step in [(k, s) for s in ("matches", "grams", "features", "page") for k in ("spaces", "less", "word", "letter", "script")] + [("tag", "page")]:
+            if kind == "tag":
+                size = min(size, 8 << 20)  # a tag takes some 3 microseconds
+            took, peak = subprocess.run([sys.executable, "-c", code, kind, str(size), step], capture_output=True, text=True, check=True, cwd=root).stdout.split()
+            assert float(took) < 10 and int(peak) < 1 << 20, (kind, step, size, took, peak)
+
+
 TEXTS = ["", " ", "hello  world's end\n\n x", "naïve façade 中文字 １２ ½", "a" * 5000, "aé" * 700, "​퟿ x", "don't I'LL 12345 !!!??? \t tab", "🙂🙂 mixed 🙂", "the the the"]
 
 
@@ -284,6 +318,50 @@ def test_heap_equals_plain_merging():
         assert known.count(data) == plain(data)
 
 
+def test_token_ids_equal_plain_merging(spark):
+    import regex
+
+    ranks = token_orc.read_ranks(token_orc.VOCABULARY)
+
+    def plain(text):
+        out = []
+        for piece in regex.findall(token_orc.PATTERN, text):
+            parts = [bytes([b]) for b in piece.encode()]
+            while len(parts) > 1:
+                r, k = min((ranks.get(parts[k] + parts[k + 1], 1 << 30), k) for k in range(len(parts) - 1))
+                if r == 1 << 30:
+                    break
+                parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            out += [ranks[p] for p in parts]
+        return out
+
+    texts = [t if len(t) < 900 else t[:900] for t in TEXTS]
+    got = {r.doc_id: r.tokens for r in token_orc.token_table(documents(spark, [(i, t, "en") for i, t in enumerate(texts)])).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(texts)}
+
+
+def test_token_files_skip_by_statistics_and_bloom_filters(spark):
+    docs = spark.range(0, 20_000, 2).selectExpr("id AS doc_id", "concat('text number ', id) AS text").coalesce(1)
+    path = shared_dir(spark, "t")
+    token_orc.write_tokens(docs, path)
+
+    def rows_read(where):
+        df = token_orc.read_tokens(spark, path).select("doc_id").where(where)
+        found = df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        return len(found), plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    assert rows_read("doc_id >= 0") == (10_000, 10_000)
+    found, read = rows_read("doc_id = 5000")  # statistics: one row group of the ten
+    assert found == 1 and read <= token_orc.ROW_INDEX_STRIDE
+    # odd ids lie within the statistics' ranges: only the Bloom filters can rule them out
+    reads = [rows_read(f"doc_id = {i}") for i in range(1, 2001, 100)]
+    assert all(n == 0 for n, _ in reads) and sum(r == 0 for _, r in reads) >= 18
+    token_orc.write_tokens(docs.repartition(5), path + "r", ranged=True)
+    ends = sorted((min(x), max(x)) for x in ([r.doc_id for r in token_orc.read_tokens(spark, f).collect()] for f in token_orc.read_tokens(spark, path + "r").inputFiles()))
+    assert all(a[1] < b[0] for a, b in zip(ends, ends[1:], strict=False))
+
+
 def test_token_round_trip_and_metadata(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     path = shared_dir(spark, "t")

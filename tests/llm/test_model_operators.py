@@ -54,6 +54,18 @@ def test_near_duplicates_odd(spark):
     assert bagminhash.near_duplicates(df.limit(0)).count() == 0 and bagminhash.drop_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_with_several_texts_of_an_id(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, base + " one", "en"), (2, base + " two", "en"), (2, "quite another text of the same id", "en"), (2, base + " two", "en"), (None, base + " one", "en")]
+    for order in (rows, rows[::-1]):
+        df = documents(spark, order)
+        bags = bagminhash.sketch(df.where("doc_id = 2").selectExpr("doc_id", "text", "xxhash64(text) AS t")).collect()
+        standing = min(bags, key=lambda r: (r.bag1, r.bag2)).n
+        left = sorted(str((r.doc_id, r.text[-3:])) for r in bagminhash.drop_near_duplicates(df).collect())
+        other = [] if standing == 61 - 1 else ["(2, 'two')"] * 2
+        assert left == sorted(["(1, 'one')", "(2, ' id')", "(None, 'one')", *other])
+
+
 def test_a_bucket_of_many_copies(spark):
     rnd = random.Random(8)
     base = [f"w{k}" for k in range(80)]
@@ -82,18 +94,44 @@ def test_language_held_out(spark, docs):
 
 
 def test_language_filter_contains_every_gram():
-    f = language.Filter([f"l{k}" for k in range(20)], slots=1 << 12)
+    f = language.Filter([f"l{k}" for k in range(70)], slots=1 << 12)
     rng = np.random.default_rng(0)
-    sets = [rng.integers(0, 2**63, 200, dtype=np.uint64) for _ in range(20)]
+    sets = [rng.integers(0, 2**63, 200, dtype=np.uint64) for _ in range(70)]
     for k, g in enumerate(sets):
-        f.add(k, g)
+        f.add(2 * k + k % 2, g)
     for k, g in enumerate(sets):
-        assert (f.containing(g) >> f.mask.dtype.type(k) & f.mask.dtype.type(1)).all()
+        assert f.bit(f.containing(g), 2 * k + k % 2).all()
     other = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
-    seen = [np.mean(f.containing(other) >> f.mask.dtype.type(k) & f.mask.dtype.type(1)) for k in range(20)]
+    seen = [np.mean(f.bit(f.containing(other), k)) for k in range(f.sets)]
     assert np.abs(np.array(seen) - f.rates()).max() < 0.01
 
 
+def test_language_shares_against_exact_sets(spark, docs):
+    """Each document's share of n-grams that the sampled texts of the other half have, by sets; at most the filter's false positives apart."""
+    fold = lambda t: [32, *(int(language.FOLD[b]) for b in t.encode()), 32]
+    grams = lambda b: [tuple(b[k : k + 4]) for k in range(len(b) - 3) if (b[k], b[k + 1]) != (32, 32)]
+    rows = docs.where("text IS NOT NULL").select("doc_id", "text", "lang", language.half_of(docs["doc_id"]).alias("half")).collect()
+    sets = {}
+    for r in rows:  # the table has fewer rows a language than the sample
+        if r.lang is not None:
+            sets.setdefault((r.lang, r.half), set()).update(grams(fold(r.text)))
+    languages = sorted({x for x, _ in sets})
+    got = {r.doc_id: r for r in language.identify(docs, language.fit(docs)).collect()}
+    for r in rows:
+        g = grams(fold(r.text))
+        share = [sum(x in sets.get((lang, 1 - r.half), ()) for x in g) / max(len(g), 1) for lang in languages]
+        assert got[r.doc_id].grams == len(g) and got[r.doc_id].share == pytest.approx(max(share), abs=0.02)
+
+
+def test_languages_beyond_64(spark):
+    rnd = random.Random(3)
+    words_of = {f"l{k:02}": ["".join(rnd.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(12)] for k in range(80)}
+    rows = [(k * 10 + j, " ".join(rnd.choice(w) for _ in range(60)), lang) for k, (lang, w) in enumerate(words_of.items()) for j in range(10)]
+    df = documents(spark, rows)
+    found = language.identify(df, language.fit(df)).collect()
+    assert {r.doc_id: r.language for r in found} == {i: lang for i, _, lang in rows}
+
+
 def test_language_odd(spark, docs):
     df = odd(spark)
     rows = language.identify(df, language.fit(docs)).collect()
@@ -320,7 +358,12 @@ def test_pipeline_survives_odd_rows(spark, sf):
     now = odd(spark)
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, sf)
-    assert now.columns == ["doc_id", "n_tokens", "tokens"] and now.count() >= 0
+    enc = token_orc.encoder()
+    found = {(r.doc_id, enc.decode(r.tokens)) for r in now.collect()}
+    # only rows of the input are left, and none that a stage must reject: null, empty, without letters
+    assert now.columns == ["doc_id", "n_tokens", "tokens"]
+    assert found <= {(r.doc_id, r.text) for r in odd(spark).where("text IS NOT NULL").collect()}
+    assert not {i for i, _ in found} & {2, 3, 6, 7} and 5 not in {i for i, _ in found}
 
 
 def test_no_local_checkpoint_nor_driver_sized_state(spark):
