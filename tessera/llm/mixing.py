@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from . import kernel as K
 from .common import fresh, map_batches, one_text_each, table, written
-from .token_orc import VOCABULARY, encoder
+from .token_orc import VOCABULARY, encode, encoder
 
 _log = logging.getLogger(__name__)
 #: Target share of tokens of each domain; the total stays that of the input. The keys are the domains (letters, digits and _).
@@ -152,7 +152,7 @@ def posteriors(docs: DataFrame, model: Classifier, vocabulary: str = VOCABULARY)
         found = [sent.value.posterior(r, o) for _, r, o in K.chunks(raw, offsets)]
         p, n = np.round(np.concatenate([x for x, _ in found]), 9), np.concatenate([x for _, x in found])
         enc = encoder(vocabulary)
-        bpe = [len(enc.encode_ordinary(x.as_py())) if x.is_valid else 0 for x in b.column("text")]
+        bpe = [len(encode(enc, x.as_py())) if x.is_valid else 0 for x in b.column("text")]
         return pa.record_batch([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(bpe, pa.int64()), *(pa.array(p[:, d]) for d in range(len(domains)))], ["doc_id", "tokens", "bpe_tokens", *(f"p_{d}" for d in domains)])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 STRIPE_BYTES = 64 << 20
 ROW_INDEX_STRIDE = 1000
 BLOOM_FPP = 0.01
+#: Runs of white space longer than this are split by ``regex``.
+LONG_RUN = 20_000
+_LONG_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
 _encoders: dict = {}
 
 
@@ -34,6 +38,18 @@ def encoder(path: str = VOCABULARY):
     return _encoders[path]
 
 
+def encode(enc, text: str) -> list[int]:
+    """The identifiers of a text; one with a very long run of white space, on which the tokenizer's own pattern overflows its stack, is split into pieces by another engine."""
+    if len(text) <= LONG_RUN or not _LONG_RUN.search(text):
+        return enc.encode_ordinary(text)
+    import regex
+
+    out: list[int] = []
+    for piece in regex.findall(PATTERN, text):
+        out += enc.encode_ordinary(piece) if len(piece) <= LONG_RUN else enc._encode_single_piece(piece)
+    return out
+
+
 def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, n_tokens, tokens) of every row, partition by partition in its order; a null text has null tokens and null n_tokens, an empty one none and 0."""
 
@@ -43,7 +59,7 @@ def tokenized(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
         parts, size = [], np.zeros(b.num_rows + 1, np.int64)
         for k, x in enumerate(text):
             if x.is_valid:
-                ids = np.array(enc.encode_ordinary(x.as_py()), np.int32)
+                ids = np.array(encode(enc, x.as_py()), np.int32)
                 parts.append(ids)
                 size[k + 1] = len(ids)
         flat = np.concatenate(parts) if parts else np.zeros(0, np.int32)
