@@ -59,8 +59,9 @@ class Scoring:
 
 @dataclass(frozen=True)
 class Cases:
-    risk_terms: tuple[str, ...] = tuple("中毒 中风 休克 儿童 出血 卒中 呼吸困难 妊娠 婴儿 孕妇 心梗 心肌梗死 急腹症 惊厥 感染性休克 抽搐 新生儿 昏迷 癌 白血病 窒息 糖尿病酮症 老人 老年 肿瘤 胸痛 脑出血 脑梗 自杀 过敏性休克 高热".split())
-    hints: tuple[str, ...] = tuple("CT MRI 并发症 影像 心电图 感染 手术 抗生素 梗死 检查 治疗 激素 炎症 用药 病因 症状 糖尿病 综合征 肌钙蛋白 肿瘤 血常规 诊断 贫血 预防 高血压".split())
+    #: Default values; the order of hints, then risk terms, decides ties between keywords.
+    risk_terms: tuple[str, ...] = tuple("胸痛 心梗 心肌梗死 卒中 中风 脑梗 脑出血 出血 呼吸困难 窒息 昏迷 休克 抽搐 惊厥 高热 感染性休克 孕妇 妊娠 儿童 婴儿 新生儿 老人 老年 肿瘤 癌 白血病 糖尿病酮症 过敏性休克 自杀 中毒 急腹症".split())
+    hints: tuple[str, ...] = tuple("诊断 治疗 检查 症状 病因 并发症 预防 用药 手术 心电图 肌钙蛋白 血常规 影像 CT MRI 感染 炎症 综合征 梗死 肿瘤 贫血 糖尿病 高血压 抗生素 激素".split())
     stopwords: tuple[str, ...] = tuple("一种 下列 什么 以下 以及 可以 哪些 如何 如果 导致 怎么 患者 或者 描述 疾病 病人 进行 需要".split())
     size: int = 5000
     seed: int = 42

@@ -105,6 +105,28 @@ def test_keywords(spark):
     assert ask(spark, answer_keywords(L("x"), L("y"), cfg)) is None
 
 
+def test_keywords_of_chinese_texts(spark):
+    """Worked out by hand from the contract's own lists and borders."""
+    get = lambda t: ask(spark, ranked_terms(L(t)))
+    # risk terms count like hints; both follow the pieces, in their order
+    assert get("出现休克和昏迷的情形") == ["昏迷", "休克", "出现休克和昏迷的情形"]
+    every = "诊断治疗检查症状病因并发症预防用药手术心电图肌钙蛋白血常规影像CTMRI感染炎症综合征梗死肿瘤贫血糖尿病高血压抗生素激素"
+    assert get(every) == ["诊断", "治疗", "检查", "症状", "病因", "预防", "用药", "手术"]
+    # quotes and bars are no borders, the ideographic space is one
+    assert get("甲\"乙|丙\u3000丁戊") == ["丁戊", "甲\"乙|丙"]
+    assert get("肿瘤，肿瘤") == ["肿瘤"] and get("需要，患者，１２３，12") == []
+    assert get("及时处理。及时处理；多喝水") == ["及时处理", "多喝水"]
+
+
+def test_sections_default_where_a_row_has_none(spark):
+    full = "病情分析 处理建议 风险提示 就医建议"
+    for none in (F.array().cast("array<string>"), F.lit(None).cast("array<string>")):
+        assert ask(spark, S.format_score(L(full), none)) == 1.0 and ask(spark, S.format_score(L("风险提示"), none)) == 0.25
+        assert ask(spark, S.missing_sections(L("x"), none)) == full.split()
+        assert ask(spark, S.format_reward(L(full), none)) == 1.0
+    assert ask(spark, S.format_score(L("one"), F.array(L("one"), L("two")))) == 0.5
+
+
 def test_config(tmp_path):
     p = tmp_path / "c.yaml"
     p.write_text('# note\nmin_question: 7\ndedup: false\nad_keywords:\n  - "a\\nb"\n  - c # tail\nuser_roles: [x, y]\n')
