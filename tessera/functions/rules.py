@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,7 +36,9 @@ def answer_length_reason(text: Column, cfg: Cleaning = Cleaning()) -> Column:
 
 
 def has_contact(text: Column, cfg: Cleaning = Cleaning()) -> Column:
-    return text.rlike("(?i)" + "|".join(cfg.contact_patterns))
+    # a pattern that begins with a repeated class is tried once a run of it, where it matches if it does anywhere in the run
+    once = [re.sub(r"^(\[[^\]]+\])\+", r"(?<!\1)\1+", p) for p in cfg.contact_patterns]
+    return text.rlike("(?i)" + "|".join(once))
 
 
 def is_ad(text: Column, cfg: Cleaning = Cleaning()) -> Column:

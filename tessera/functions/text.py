@@ -7,6 +7,7 @@ the texts that can change; all else is regular expressions within codegen.
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 
 import pandas as pd
@@ -19,8 +20,20 @@ SPACE = r"(?U)\s"
 _CHANGES = r"&|[^\x00-\x7F]"
 
 
+#: Longer than any code point's number; Python refuses to read some of them.
+_LONG_NUMBER = re.compile("&#0*[1-9][0-9]{9,};?")
+
+
+def unescape(text: str) -> str:
+    """``html.unescape``, also of decimal numbers of any length: like all beyond Unicode these become U+FFFD."""
+    try:
+        return html.unescape(text)
+    except ValueError:
+        return html.unescape(_LONG_NUMBER.sub("&#x110000;", text))
+
+
 def _fold_one(text: str | None) -> str | None:
-    return None if text is None else unicodedata.normalize("NFKC", html.unescape(text))
+    return None if text is None else unicodedata.normalize("NFKC", unescape(text))
 
 
 @F.pandas_udf(StringType())
@@ -35,16 +48,25 @@ def _fold_all(lists: pd.Series) -> pd.Series:
 
 def strip(text: Column) -> Column:
     """Without white space (Unicode) at both ends; null stays null."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    # a run is tried once, at its start, so that time is linear in the text
+    return F.regexp_replace(text, r"(?U)^\s++|(?<!\s)\s++$", "")
+
+
+def up_to_last(text: Column, mark: str) -> tuple[Column, Column]:
+    """(the text up to and with the last mark, the rest): what a pattern that ends in the mark can match, so that it never scans in vain."""
+    rest = F.when(F.contains(text, F.lit(mark)), F.substring_index(text, mark, -1)).otherwise(text)
+    return F.substring(text, F.lit(1), F.length(text) - F.length(rest)), rest
 
 
 def tidy(folded: Column) -> Column:
     """What ``normalize`` does after decoding and NFKC: tags, control and zero-width characters, spaces, lines."""
-    t = F.regexp_replace(folded, "<[^>]+>", " ")
+    head, rest = up_to_last(folded, ">")
+    t = F.concat(F.regexp_replace(head, "<[^>]++>", " "), rest)
     t = F.regexp_replace(t, r"[\x{FEFF}\x{200B}\x7F\x0E-\x1F\x0B\x0C\x00-\x08]", "")
     t = F.regexp_replace(t, r"[ \t\r]+", " ")
     t = F.regexp_replace(t, r"[\x{85}\x{2028}\x{2029}]", "\n")
-    t = F.regexp_replace(t, r"(?U)[\s&&[^\n]]*\n[\s&&[^\n]]*", "\n")
+    t = F.regexp_replace(t, r"(?U)\n[\s&&[^\n]]++", "\n")
+    t = F.regexp_replace(t, r"(?U)(?<![\s&&[^\n]])[\s&&[^\n]]++\n", "\n")
     return strip(F.regexp_replace(t, r"\n{3,}", "\n\n"))
 
 
@@ -98,8 +120,14 @@ def plain(text: Column) -> Column:
 
 def tagged_answer(text: Column) -> Column:
     """The stripped inside of the first <answer> element, or the whole text if there is none."""
-    inside = F.regexp_extract(text, r"(?s)<answer>(.*?)</answer>", 1)
-    return strip(F.when(text.rlike(r"(?s)<answer>.*?</answer>"), inside).otherwise(text))
+    head, _ = up_to_last(text, "</answer>")
+    inside = F.regexp_extract(head, r"(?s)<answer>(.*?)</answer>", 1)
+    return strip(F.when(head.rlike(r"(?s)<answer>.*?</answer>"), inside).otherwise(text))
+
+
+def equal_answers(response: Column, reference: Column) -> Column:
+    """1 if the tagged (or final) answers are equal once their ends are stripped, else 0."""
+    return F.coalesce((tagged_answer(final_answer(response)) == tagged_answer(final_answer(reference))).cast("double"), F.lit(0.0))
 
 
 def final_answer(text: Column) -> Column:

@@ -8,12 +8,26 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
+from tessera.functions.rules import is_ad
 
 
 def one(spark, f, value):
     return spark.createDataFrame([(value,)], "t string").select(f(F.col("t")).alias("x")).first().x
 
 
+def test_long_runs_take_linear_time(spark):
+    """1 MB of one thing, within seconds (each took hours when a pattern looked at a run from each of its characters)."""
+    import time
+
+    runs = ["<" * 1_000_000, "\u3000" * 1_000_000, "a" + " " * 1_000_000 + "b", "a" * 1_000_000, "<answer>" * 120_000, "&#" + "1" * 1_000_000 + ";", "a\n \n" * 200_000, "\u3000\n" * 400_000 + "x"]
+    df = spark.createDataFrame([(x,) for x in runs], "t string").repartition(8)
+    began = time.time()
+    rows = df.select(T.normalize(F.col("t")).alias("n"), T.strip_tags(F.col("t")).alias("s"), T.plain(F.col("t")).alias("p"), T.collapse(F.col("t")).alias("c"), T.tagged_answer(F.col("t")).alias("a"), is_ad(F.col("t")).alias("ad"), F.col("t")).collect()
+    assert time.time() - began < 60
+    by = {r.t: r for r in rows}
+    assert by[runs[0]].n == runs[0] and by[runs[1]].n == by[runs[1]].p == "" and by[runs[2]].c == "a b" and by[runs[5]].n == "\ufffd" and by[runs[7]].s == "x"
+
+
 CASES = [
     (None, ""), ("", ""), ("A\x00B​C﻿D", "ABCD"), ("a \t 　 b", "a b"), ("a\x0bb", "ab"), ("a b", "a\nb"), ("x\r\ny", "x\ny"),
     ("x\ry", "x y"), ("a\n\n\n\nb", "a\n\nb"), ("&lt;b&gt;hi&lt;/b&gt;", "hi"), ("１２３？", "123?"), ("＜b＞t", "t"), ("p<3 and q>1", "p 1"), ("&amp;lt;x", "&lt;x"), ("  a \n  b  \n", "a\nb"),
