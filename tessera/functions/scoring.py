@@ -14,21 +14,27 @@ def _array(words: Column | tuple | list) -> Column:
     return words if isinstance(words, Column) else F.array(*map(F.lit, words)).cast("array<string>")
 
 
+def or_default(sections: Column | tuple | list, default: tuple = Scoring.sections) -> Column:
+    """The section names, or the default ones where a row has none (null or an empty array)."""
+    s = _array(sections)
+    return F.when(F.coalesce(F.size(s), F.lit(0)) > 0, s).otherwise(_array(default))
+
+
 def missing_sections(response: Column, sections: Column | tuple = Scoring.sections) -> Column:
-    """Section names that the response lacks; a blank name is never missing."""
+    """Section names that the response lacks; a blank name is never missing. A row without names is held to the default ones."""
     r = collapse(response)
-    return F.filter(_array(sections), lambda s: ~F.contains(r, collapse(s)))
+    return F.filter(or_default(sections), lambda s: ~F.contains(r, collapse(s)))
 
 
 def format_score(response: Column, sections: Column | tuple = Scoring.sections) -> Column:
-    """Share of the sections that occur; a blank name is a hit."""
-    s = _array(sections)
+    """Share of the sections that occur; a blank name is a hit. A row without names is held to the default ones."""
+    s = or_default(sections)
     return (F.size(s) - F.size(missing_sections(response, s))) / F.greatest(F.size(s), F.lit(1))
 
 
 def format_reward(response: Column, sections: Column | tuple = Scoring.sections) -> Column:
     """As ``format_score``, but a blank name is no hit and an empty response has 0."""
-    r, s = collapse(response), _array(sections)
+    r, s = collapse(response), or_default(sections)
     hits = F.size(F.filter(s, lambda x: (collapse(x) != "") & F.contains(r, collapse(x))))
     return F.when(r == "", 0.0).otherwise(hits / F.greatest(F.size(s), F.lit(1)))
 

@@ -35,8 +35,8 @@ def repair(df: DataFrame, column: str = "conversations", cfg: Cleaning = Cleanin
 
     Unknown roles and empty values go, neighbours of one role are merged, leading
     assistant and trailing user turns go; fewer than two turns left fail. The
-    column is an array of (from, value); null is a failure that changed something,
-    an empty list one that didn't.
+    column is an array of (from, value); null (no list at all) and an empty list are
+    failures that changed nothing.
     """
     raw = F.coalesce(F.col(column), F.array().cast(_TURNS))
     values = fold_all(F.transform(raw, lambda m: F.coalesce(m["value"], F.lit(""))))
@@ -51,7 +51,7 @@ def repair(df: DataFrame, column: str = "conversations", cfg: Cleaning = Cleanin
     kept = F.slice(F.col("__m"), head, size)
     return (
         d.withColumn("messages", F.when(size >= 2, kept).cast(_TURNS))
-        .withColumn("changed", F.col(column).isNull() | (size != F.size(raw)))
+        .withColumn("changed", F.col(column).isNotNull() & (size != F.size(raw)))
         .drop("__turns", "__m")
     )
 

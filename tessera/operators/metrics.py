@@ -14,8 +14,12 @@ def counts_by(df: DataFrame, *by: str) -> DataFrame:
 
 
 def counts_with_totals(df: DataFrame, *by: str) -> DataFrame:
-    """Rows of each combination and of each prefix of it, down to the grand total (nulls stand for all)."""
-    return df.rollup(*by).agg(F.count(F.lit(1)).alias("n"))
+    """Rows of each combination and of each prefix of it, down to the grand total.
+
+    ``over`` has a bit for each column, the last one lowest, that is set where a row is the total over it: 0 for a
+    combination's own row, whose nulls are nulls.
+    """
+    return df.rollup(*by).agg(F.grouping_id().cast("int").alias("over"), F.count(F.lit(1)).alias("n")).select(*by, "over", "n")
 
 
 def score_report(scored: DataFrame, selected: DataFrame, score: str = "similarity_score") -> DataFrame:
@@ -36,11 +40,12 @@ def share(df: DataFrame, flag: Column, name: str = "ratio") -> DataFrame:
 
 def score_responses(df: DataFrame, threshold: float = 1.0, cfg: S.Scoring = S.Scoring()) -> DataFrame:
     """All columns and format_score, format_pass, missing_sections, safety_coverage, keyword_coverage of (prompt, response, required_sections, answer_keywords, risk_level)."""
-    f = S.format_score(F.col("response"), F.col("required_sections"))
+    sections = S.or_default(F.col("required_sections"), cfg.sections)
+    f = S.format_score(F.col("response"), sections)
     return df.withColumns({
         "format_score": f,
         "format_pass": f >= threshold,
-        "missing_sections": S.missing_sections(F.col("response"), F.col("required_sections")),
+        "missing_sections": S.missing_sections(F.col("response"), sections),
         "safety_coverage": S.safety_coverage(F.col("prompt"), F.col("response"), F.col("risk_level"), cfg),
         "keyword_coverage": S.keyword_coverage(F.col("response"), F.col("answer_keywords")),
     })

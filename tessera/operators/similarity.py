@@ -73,6 +73,23 @@ def candidate_text(instruction: Column, input_: Column, output: Column, cfg: Sim
     return plain(F.concat(*parts)) if parts else F.lit("")
 
 
+def with_candidates(df: DataFrame, text: Column, name: str = "candidate_text") -> DataFrame:
+    """The rows with their candidate text; those whose text is empty are skipped (``candidate_report`` counts them)."""
+    return df.withColumn(name, plain(text)).where(F.col(name) != "")
+
+
+def candidate_report(df: DataFrame, text: Column) -> DataFrame:
+    """One row: total_read, skipped_empty_text, encoded."""
+    empty = plain(text) == ""
+    return df.agg(F.count(F.lit(1)).alias("total_read"), F.count_if(empty).alias("skipped_empty_text"), F.count_if(~empty).alias("encoded"))
+
+
+def with_reference(df: DataFrame, known: DataFrame, prompt: str = "prompt", columns: tuple[str, ...] = ("reference_answer", "answer_keywords", "risk_level")) -> DataFrame:
+    """All rows, with the columns that ``known`` has for their prompt (nulls where it has none); of several entries of a prompt the last in column order counts."""
+    one = known.groupBy(F.col(prompt).alias("__prompt")).agg(F.max(F.struct(*columns)).alias("__known"))
+    return df.join(one, df[prompt] == one["__prompt"], "left").select(*(df[c] for c in df.columns), *(F.col(f"__known.{c}").alias(c) for c in columns))
+
+
 def checked_targets(targets: DataFrame, text: str = "target_text") -> DataFrame:
     """The targets, if there are any and none is blank; else an error."""
     blank, n = targets.agg(F.count_if(F.coalesce(plain(F.col(text)), F.lit("")) == ""), F.count(F.lit(1))).first()

@@ -219,11 +219,11 @@ def single_to_chat(spark, sf_dir):
 
 def _keywords_sql(src: str) -> str:
     stop = ", ".join(f"'{s}'" for s in CASES.stopwords)
-    hints = " UNION ALL ".join(f"SELECT id, {10**9 + k} AS i, '{h}' AS x FROM src WHERE contains(txt, '{h}')" for k, h in enumerate(CASES.hints))
+    hints = " UNION ALL ".join(f"SELECT id, {10**9 + k} AS i, '{h}' AS x FROM src WHERE contains(txt, '{h}')" for k, h in enumerate(dict.fromkeys(CASES.hints + CASES.risk_terms)))
     return rf"""
 WITH src AS ({src}), pieces AS (SELECT id, generate_subscripts(l, 1) AS i, unnest(l) AS x FROM (
-  SELECT id, string_split_regex(txt, '[\s\x0b,.;:，。；：、（）()\[\]【】"''“”‘’<>《》/\\|]+') AS l FROM src)
-), good AS (SELECT * FROM pieces WHERE length(x) BETWEEN 2 AND 16 AND NOT regexp_full_match(x, '[0-9]+') AND x NOT IN ({stop})
+  SELECT id, string_split_regex(txt, '[\t\n\x0b\f\r\x1c-\x1f \x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}},.;:，。；：、（）()\[\]【】<>《》/\\]+') AS l FROM src)
+), good AS (SELECT * FROM pieces WHERE length(x) BETWEEN 2 AND 16 AND NOT regexp_full_match(x, '\p{{Nd}}+') AND x NOT IN ({stop})
 ), terms AS (SELECT * FROM good UNION ALL SELECT h.* FROM ({hints}) h ANTI JOIN good g ON g.id = h.id AND g.x = h.x
 ), ranked AS (SELECT id, x, row_number() OVER (PARTITION BY id ORDER BY count(*) DESC, length(x), min(i)) AS r FROM terms GROUP BY id, x)
 SELECT s.id, coalesce(string_agg(x, '|' ORDER BY r), '') AS keywords FROM src s LEFT JOIN ranked k ON k.id = s.id AND r <= {CASES.keywords} GROUP BY s.id
@@ -280,6 +280,15 @@ def response_scores(spark, sf_dir):
     return _scored(spark, sf_dir).select("conv_id", "turn", F.round("format_score", 6).alias("format_score"), "format_pass", "safety_coverage", F.round("keyword_coverage", 6).alias("keyword_coverage"))
 
 
+@query(f"""WITH q AS ({_PAIR_TEXT}), s AS (SELECT *, CASE WHEN turn % 3 = 0 THEN ['the', 'und'] ELSE ['{"', '".join(SCORE.sections)}'] END AS names FROM q)
+SELECT conv_id, turn, round(len(list_filter(names, lambda n: contains(r, n))) / len(names), 6) AS format_score FROM s""")
+def default_sections(spark, sf_dir):
+    """Rows without section names, null or none, are held to the default ones."""
+    own = F.when(F.col("turn") % 3 == 0, F.array(F.lit("the"), F.lit("und"))).when(F.col("turn") % 3 == 1, F.array().cast("array<string>"))
+    d = pairs(spark, sf_dir).select("conv_id", "turn", F.col("question").alias("prompt"), F.col("answer").alias("response"), own.alias("required_sections"), F.array(*map(F.lit, KEYWORDS)).alias("answer_keywords"), F.lit("normal").alias("risk_level"))
+    return metrics.score_responses(d, cfg=SCORE).select("conv_id", "turn", F.round("format_score", 6).alias("format_score"))
+
+
 @query(f"WITH q AS ({_PAIR_TEXT}) SELECT count(*) AS total, round(avg(({_FORMAT} >= 1)::INTEGER), 6) AS format_accuracy, round(avg({_FORMAT}), 6) AS avg_format_score, round(avg({_SAFE}), 6) AS safety_coverage, round(avg({_COVER}), 6) AS keyword_coverage, 0::BIGINT AS high_risk_count FROM q")
 def response_report(spark, sf_dir):
     r = metrics.response_report(_scored(spark, sf_dir))
@@ -344,7 +353,7 @@ def group_relative_reward(spark, sf_dir):
     return d.select("event_id", F.round("advantage", 9).alias("advantage"))
 
 
-@query("SELECT lang, source, count(*) AS n FROM documents GROUP BY ROLLUP (lang, source)")
+@query("SELECT lang, source, grouping(lang, source)::INTEGER AS over, count(*) AS n FROM documents GROUP BY ROLLUP (lang, source)")
 def rollup_counts(spark, sf_dir):
     return metrics.counts_with_totals(table(spark, sf_dir, "documents"), "lang", "source")
 
@@ -478,6 +487,26 @@ def junk_reasons(spark, sf_dir):
     return metrics.counts_by(d, "reason")
 
 
+@query(f"SELECT count(*) AS total_read, sum((t = '')::INTEGER)::BIGINT AS skipped_empty_text, sum((t <> '')::INTEGER)::BIGINT AS encoded FROM (SELECT {_strip("regexp_replace(coalesce(text, ''), '[^!?]', '', 'g')")} AS t FROM documents)")
+def candidate_counts(spark, sf_dir):
+    """Candidates without text are skipped and counted (texts are reduced to their exclamation and question marks, so that some are empty)."""
+    return similarity.candidate_report(table(spark, sf_dir, "documents"), F.regexp_replace("text", "[^!?]", ""))
+
+
+@query(f"WITH p AS ({_PAIRS}) SELECT conv_id, turn, sha256(lower({_squeeze('question')}) || chr(10) || lower({_squeeze('answer')})) AS pair_key FROM p")
+def pair_keys(spark, sf_dir):
+    return pairs(spark, sf_dir).select("conv_id", "turn", dedup.pair_key(F.col("question"), F.col("answer")).alias("pair_key"))
+
+
+@query(f"WITH p AS ({_PAIRS}), s AS (SELECT conv_id, turn, {_strip('question')} AS i, CASE WHEN turn % 4 = 0 THEN 'more of it' WHEN turn % 4 = 2 THEN ' ' END AS n, {_strip('answer')} AS o FROM p) SELECT i || CASE WHEN turn % 4 = 0 THEN CASE WHEN i = '' THEN '' ELSE chr(10) || chr(10) END || n ELSE '' END AS prompt, o AS reply FROM s WHERE (i <> '' OR turn % 4 = 0) AND o <> ''")
+def single_to_chat_with_input(spark, sf_dir):
+    """Instruction and input are joined by a blank line, an empty input adds none."""
+    extra = F.when(F.col("turn") % 4 == 0, "more of it").when(F.col("turn") % 4 == 2, " ")
+    d = pairs(spark, sf_dir).select(F.col("question").alias("instruction"), extra.alias("input"), F.col("answer").alias("output"))
+    c = convert.single_to_chat(d)
+    return c.select(F.col("conversations")[0]["value"].alias("prompt"), F.col("conversations")[1]["value"].alias("reply"))
+
+
 @query()
 def clean_lines_report(spark, sf_dir):
     """The whole cleaning plan over JSON lines made of pairs, chats and documents."""

@@ -19,7 +19,7 @@ CASES = [
     ([], None, False),
     ([("User", "a"), (G, "b")], None, True),
     ([(H, "<"), (H, "b>c"), (G, "d")], [(H, "c"), (G, "d")], True),
-    (None, None, True),
+    (None, None, False),
     ([(H, None), (G, None)], None, True),
 ]
 

@@ -31,7 +31,7 @@ def test_smoke_corpus(spark, tmp_path):
     put(tmp_path / "in/sub/b.jsonl", ["{bad", "", "[1]", {"conversations": "text"}, {"conversations": [], "question": "empty list here", "answer": "goes to single turn"}, {"question": 0, "query": "Q"}, {"messages": [{"role": "user", "content": "hi there"}, {"role": "assistant", "content": "see www.x.y"}]}])
     c = clean.classify(jsonl.lines(spark, str(tmp_path / "in")))
     r = clean.report(c).first().asDict()
-    assert r == {"total_read": 12, "input_files": 2, "invalid_json": 1, "invalid_record": 1, "multi_turn_failed": 1, "ad_or_contact": 2, "duplicate": 1, "empty_field": 1, "too_short": 1, "too_long": 0, "multi_turn_repaired": 2, "single_kept": 3, "multi_kept": 1, "kept": 4}
+    assert r == {"total_read": 12, "input_files": 2, "invalid_json": 1, "invalid_record": 1, "multi_turn_failed": 1, "ad_or_contact": 2, "duplicate": 1, "empty_field": 1, "too_short": 1, "too_long": 0, "multi_turn_repaired": 1, "single_kept": 3, "multi_kept": 1, "kept": 4}
     assert [[tuple(m) for m in x.conversations] for x in clean.kept_chats(c).collect()] == [[("human", "one\ntwo"), ("gpt", "fine answer")]]
     assert {x.input for x in clean.kept_pairs(c).collect()} == {"what is it then", "the thing", "empty list here"}
     off = clean.report(clean.classify(jsonl.lines(spark, str(tmp_path / "in")), Cleaning(dedup=False))).first()
