@@ -1,23 +1,64 @@
-"""The folder that all executors share, for tables that cut lineage."""
+"""The folder that all executors share, and small files on whatever file system a path names."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written below spark.checkpoint.dir and read again: what is computed once stays so, whichever executor is lost.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below spark.checkpoint.dir.
 
-    Only where that setting is unset, as in tests, a temporary folder becomes the checkpoint folder.
+    Only in local mode, as in tests, an unset folder is replaced by a temporary one; on a cluster it is an error.
     """
-    spark = df.sparkSession
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
         base = spark.sparkContext.getCheckpointDir()
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read again: what is computed once stays so, whichever executor is lost."""
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Files:
+    """A few operations of the Hadoop file system of a path."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.jvm = spark, spark.sparkContext._jvm
+        self.fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, path: str):
+        return self.jvm.org.apache.hadoop.fs.Path(path)
+
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self._path(path))
+
+    def rename(self, old: str, new: str) -> None:
+        if not self.fs.rename(self._path(old), self._path(new)):
+            raise OSError(f"can't rename {old} to {new}")
+
+    def remove(self, path: str) -> None:
+        self.fs.delete(self._path(path), True)
+
+    def read(self, path: str) -> str:
+        return self.spark.read.text(path, wholetext=True).first()[0]
+
+    def write(self, path: str, text: str) -> None:
+        """Written beside it, then renamed: nobody reads half a file."""
+        part = f"{path}.part-{uuid.uuid4().hex}"
+        out = self.fs.create(self._path(part), True)
+        out.write(bytearray(text.encode("utf-8")))
+        out.close()
+        if self.exists(path):
+            self.remove(path)
+        self.rename(part, path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import pair_key
 from ..plans.clean import classify
 from ..plans.config import Cleaning
+from ..sources.shared import Files
 
 
 def clean_stream(spark: SparkSession, source: str, target: str, checkpoint: str, cfg: Cleaning = Cleaning(), available_now: bool = True):
@@ -19,17 +20,16 @@ def clean_stream(spark: SparkSession, source: str, target: str, checkpoint: str,
     """
     lines = spark.readStream.schema("value string").option("recursiveFileLookup", "true").text(source).select(F.col("_metadata.file_path").alias("file"), "value")
 
+    files = Files(spark, target)
+
     def append(batch: DataFrame, number: int) -> None:
         scan = batch.select("file", F.struct(F.lit(0).cast("long").alias("block"), F.monotonically_increasing_id().alias("n")).alias("ord"), "value")
         kept = classify(scan, cfg).where("reason IS NULL AND kind = 'single'").select("instruction", "input", "output")
         question = F.when(F.col("input") != "", F.col("input")).otherwise(F.col("instruction"))
         kept = kept.withColumn("key", pair_key(question, F.col("output")))
-        try:
-            known = spark.read.parquet(target).where(F.col("batch") < number).select("key")
+        if files.exists(target):  # the first batch has nothing to read
+            known = spark.read.schema("key string, batch int").parquet(target).where(F.col("batch") < number).select("key")
             kept = kept.join(known, "key", "left_anti")
-        except Exception as e:  # the first batch has nothing to read
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
         kept.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     writer = lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
