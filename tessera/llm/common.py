@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -102,6 +103,23 @@ def with_keys(rows: DataFrame, keys: DataFrame, on: list[str], n: str, total: in
     return rows.join(F.broadcast(hot), on).unionByName(rows.join(rest.hint("merge"), on))
 
 
+def trim() -> None:
+    """Freed memory goes back to the system: Python workers outlive their tasks, and stages of one application follow one another."""
+    pa.default_memory_pool().release_unused()
+    if release := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        release(0)
+
+
+def trimmed(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """f for mapInArrow; ``trim`` follows its last batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from f(batches)
+        trim()
+
+    return run
+
+
 def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """f over every Arrow batch; None adds nothing."""
 
@@ -110,7 +128,7 @@ def map_batches(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | No
             if b.num_rows and (out := f(b)) is not None and out.num_rows:
                 yield out
 
-    return df.mapInArrow(each, schema)
+    return df.mapInArrow(trimmed(each), schema)
 
 
 def text_bytes(df: DataFrame, column: str = "text") -> int:

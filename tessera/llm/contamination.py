@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import id_text, map_batches, table
+from .common import id_text, map_batches, table, trimmed
 
 MIN_WORDS = 10
 SHARD_BYTES = 1 << 22
@@ -280,7 +280,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, ben
                     keep[longest_matches(K.Words(r, o, scripts), test, min_words)[:, 0] + k] = False
                 yield b.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(sift, docs.schema)
+        docs = docs.mapInArrow(trimmed(sift), docs.schema)
     return docs
 
 

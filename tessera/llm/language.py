@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import fresh, map_batches, one_text_each, table
+from .common import fresh, map_batches, one_text_each, table, trimmed
 
 GRAM = 4
 HASHES = 3
@@ -206,7 +206,7 @@ def accepted(docs: DataFrame, filters: Filter, least_share: float = LEAST_SHARE)
             keep = np.concatenate([f.shares(r, o, rates, half[k : k + len(o) - 1])[0].max(1) for k, r, o in K.chunks(raw, offsets)])
             yield pa.record_batch(b.columns[:-1], names=b.schema.names[:-1]).filter(pa.array(np.round(keep, 6) >= least_share))
 
-    return docs.withColumn(fresh(docs, "__half"), half_of(F.col("doc_id"))).mapInArrow(sift, docs.schema)
+    return docs.withColumn(fresh(docs, "__half"), half_of(F.col("doc_id"))).mapInArrow(trimmed(sift), docs.schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .common import fresh, map_batches, one_text_each, table, written
+from .common import fresh, map_batches, one_text_each, table, trimmed, written
 from .token_orc import VOCABULARY, encode, encoder
 
 _log = logging.getLogger(__name__)
@@ -305,7 +305,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGET
             for k in range(0, len(where), 2000):
                 yield pa.record_batch(b.columns[:-1], names=b.schema.names[:-1]).take(pa.array(where[k : k + 2000]))
 
-    return drawn.mapInArrow(take, docs.schema)
+    return drawn.mapInArrow(trimmed(take), docs.schema)
 
 
 def op6_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
