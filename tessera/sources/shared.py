@@ -34,8 +34,10 @@ class Files:
     """A few operations of the Hadoop file system of a path."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.jvm = spark, spark.sparkContext._jvm
-        self.fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.jvm = spark.sparkContext._jvm
+        fs = self._path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        # local files without checksums beside them, which another program's change would belie
+        self.fs = fs.getRawFileSystem() if fs.getScheme() == "file" else fs
 
     def _path(self, path: str):
         return self.jvm.org.apache.hadoop.fs.Path(path)
@@ -51,7 +53,11 @@ class Files:
         self.fs.delete(self._path(path), True)
 
     def read(self, path: str) -> str:
-        return self.spark.read.text(path, wholetext=True).first()[0]
+        stream = self.fs.open(self._path(path))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def write(self, path: str, text: str) -> None:
         """Written beside it, then renamed: nobody reads half a file."""
