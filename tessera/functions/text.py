@@ -61,7 +61,7 @@ def up_to_last(text: Column, mark: str) -> tuple[Column, Column]:
 def tidy(folded: Column) -> Column:
     """What ``normalize`` does after decoding and NFKC: tags, control and zero-width characters, spaces, lines."""
     head, rest = up_to_last(folded, ">")
-    t = F.concat(F.regexp_replace(head, "<[^>]++>", " "), rest)
+    t = F.when(F.contains(folded, F.lit("<")), F.concat(F.regexp_replace(head, "<[^>]++>", " "), rest)).otherwise(folded)
     t = F.regexp_replace(t, r"[\x{FEFF}\x{200B}\x7F\x0E-\x1F\x0B\x0C\x00-\x08]", "")
     t = F.regexp_replace(t, r"[ \t\r]+", " ")
     t = F.regexp_replace(t, r"[\x{85}\x{2028}\x{2029}]", "\n")
