@@ -2,10 +2,10 @@
 
 import hashlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +14,11 @@ from ..plans.config import Similarity
 
 #: Targets go to the executors in parts of at most so many bytes of vectors; each part is one pass.
 PART_BYTES = 256 << 20
+#: A Python worker holds the vectors of at most so many rows at a time, and so many bytes of their scores (of one row at least), however many rows Spark sends in a batch.
+SLICE_ROWS, SLICE_BYTES = 512, 16 << 20
+#: Hashes of words are kept, of so many words at most and of none with more characters.
+_KNOWN_WORDS, _LONG_WORD = 1 << 16, 64
+_known: dict[str, int] = {}
 
 
 def unit(v: Column) -> Column:
@@ -27,32 +32,52 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def hash_vectors(texts: list[str | None], dim: int) -> np.ndarray:
-    """Signed feature hashing of the words by BLAKE2b; a text without words is one feature of itself."""
-    out = np.zeros((len(texts), dim))
-    known: dict[str, tuple[int, float]] = {}
+def _hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+
+
+def hash_vectors(texts: Iterable[str | None], dim: int, n: int | None = None) -> np.ndarray:
+    """Signed feature hashing of the words by BLAKE2b; a text without words is one feature of itself. ``n``: how many texts there are, if they have no length."""
+    out = np.zeros((len(texts) if n is None else n, dim))
     for row, text in enumerate(texts):
         words = (text or "").split()
         if not words:
-            out[row, int.from_bytes(hashlib.blake2b((text or "").encode(), digest_size=8).digest(), "little") % dim] = 1.0
+            out[row, _hash(text or "") % dim] = 1.0
             continue
-        for word, n in Counter(words).items():
-            if (at := known.get(word)) is None:
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-                at = known[word] = h % dim, 1.0 if h >> 8 & 1 else -1.0
-            out[row, at[0]] += at[1] * n
+        for word, k in Counter(words).items():
+            if (h := _known.get(word)) is None:
+                h = _hash(word)
+                if len(word) <= _LONG_WORD:
+                    if len(_known) >= _KNOWN_WORDS:
+                        _known.clear()
+                    _known[word] = h
+            out[row, h % dim] += k if h >> 8 & 1 else -k
     norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(norm > 0, norm, 1)
+    out /= np.where(norm > 0, norm, 1)
+    return out
+
+
+def slices(batches: Iterator[pa.Array], rows: int = SLICE_ROWS) -> Iterator[pa.Array]:
+    """The batches in slices, without copies."""
+    for b in batches:
+        for at in range(0, len(b), rows):
+            yield b.slice(at, rows)
+
+
+def _text_vectors(texts: pa.Array, dim: int) -> np.ndarray:
+    """One text at a time is a Python string."""
+    return hash_vectors((t.as_py() for t in texts), dim, len(texts))
 
 
 def hash_embed(df: DataFrame, text: str, dim: int = Similarity.dim, name: str = "embedding") -> DataFrame:
-    """All columns and the hash embedding of a text column; a null text counts as empty."""
+    """All columns and the hash embedding of a text column; a null text counts as empty. Where only the best target is wanted, ``best_hashed`` spares the vectors' way through the JVM."""
 
-    @F.pandas_udf("array<double>")
-    def embed(s: pd.Series) -> pd.Series:
-        return pd.Series(list(hash_vectors(s.where(s.notna(), None).tolist(), dim)))
+    @F.arrow_udf("array<double>")
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in slices(batches):
+            yield pa.ListArray.from_arrays(np.arange(0, len(texts) * dim + 1, dim, dtype=np.int32), pa.array(_text_vectors(texts, dim).ravel()))
 
-    return df.withColumn(name, embed(F.col(text)))
+    return df.withColumn(name, embed(F.col(text).cast("string")))
 
 
 def candidate_text(instruction: Column, input_: Column, output: Column, cfg: Similarity = Similarity()) -> Column:
@@ -98,35 +123,39 @@ def checked_targets(targets: DataFrame, text: str = "target_text") -> DataFrame:
     return targets
 
 
-def _scorer(sent, normalized: bool):
-    """Each batch's best score and target against one broadcast matrix."""
+def _given(normalized: bool) -> Callable[[pa.Array], np.ndarray]:
+    """Vectors of a slice without nulls, as a matrix, straight from the Arrow buffer."""
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def vectors(part: pa.Array) -> np.ndarray:
+        x = part.flatten().to_numpy(zero_copy_only=False).reshape(len(part), -1).astype(float)
+        if not normalized:
+            norm = np.linalg.norm(x, axis=1, keepdims=True)
+            x /= np.where(norm > 0, norm, 1)
+        return x
+
+    return vectors
+
+
+def _scorer(sent, vectors: Callable[[pa.Array], np.ndarray], nulls: bool):
+    """Each slice's best score and target against one broadcast matrix; ``nulls``: whether nulls have vectors, too."""
+
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matrix, ids = sent.value
-        for s in batches:
-            has = s.notna().to_numpy()
-            best, where = np.full(len(s), np.nan), np.zeros(len(s), int)
+        for part in slices(batches, max(1, min(SLICE_ROWS, SLICE_BYTES // (8 * len(matrix))))):
+            has = np.ones(len(part), bool) if nulls else part.is_valid().to_numpy(zero_copy_only=False)
+            best, where = np.zeros(len(part)), np.zeros(len(part), int)
             if has.any():
-                x = np.array(s[has].tolist(), float)
-                if not normalized:
-                    norm = np.linalg.norm(x, axis=1, keepdims=True)
-                    x = x / np.where(norm > 0, norm, 1)
                 # rounded to 12 digits, so that ties don't hang on the order of summation
-                p = np.round(x @ matrix.T, 12)
+                p = np.round(vectors(part if nulls else part.drop_null()) @ matrix.T, 12)
                 where[has] = p.argmax(1)
                 best[has] = p.max(1)
-            yield pd.DataFrame({"score": pd.Series(best).where(has, None), "id": [ids[w] if h else None for w, h in zip(where, has, strict=True)]})
+            yield pa.StructArray.from_arrays([pa.array(best, mask=~has), ids.take(pa.array(where, mask=~has))], ["score", "id"])
 
     return score
 
 
-def best_targets(candidates: DataFrame, targets: DataFrame, cand_vec: str, target_id: str, target_vec: str, normalized: bool = False) -> DataFrame:
-    """All columns of the candidates, ``similarity_score`` and ``best_target_id``: the most similar target by cosine; ties go to the smallest id.
-
-    Targets travel as one matrix per part of bounded size; candidates never move,
-    each batch is one matrix product. A null vector has a null score.
-    """
-    rows = targets.select(F.col(target_id).alias("i"), (F.col(target_vec) if normalized else unit(F.col(target_vec))).alias("v")).where("v IS NOT NULL")
+def _best(candidates: DataFrame, targets: DataFrame, column: Column, target_id: str, vector: Column, vectors: Callable[[pa.Array], np.ndarray], nulls: bool) -> DataFrame:
+    rows = targets.select(F.col(target_id).alias("i"), vector.alias("v")).where("v IS NOT NULL")
     n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     if not n:
         raise ValueError("no targets")
@@ -140,14 +169,30 @@ def best_targets(candidates: DataFrame, targets: DataFrame, cand_vec: str, targe
             continue
         # straight from the Arrow buffer: no Python object for each number
         matrix = one["v"].combine_chunks().flatten().to_numpy().reshape(one.num_rows, -1).astype(float)
-        sent = spark.sparkContext.broadcast((matrix, one["i"].to_pylist()))
+        sent = spark.sparkContext.broadcast((matrix, one["i"].combine_chunks()))
 
-        udf = F.pandas_udf(_scorer(sent, normalized), f"score double, id {id_type}")
-        out = out.withColumn(f"__s{k}", udf(F.col(cand_vec)))
+        udf = F.arrow_udf(_scorer(sent, vectors, nulls), f"score double, id {id_type}")
+        out = out.withColumn(f"__s{k}", udf(column))
     found = F.array_sort(F.array(*(F.struct((-F.col(f"__s{k}.score")).alias("s"), F.col(f"__s{k}.id").alias("id")) for k in range(parts) if f"__s{k}" in out.columns)))[0]
     return out.withColumn("__b", found).select(*(out[c] for c in candidates.columns), (-F.col("__b.s")).alias("similarity_score"), F.col("__b.id").alias("best_target_id"))
 
 
+def best_targets(candidates: DataFrame, targets: DataFrame, cand_vec: str, target_id: str, target_vec: str, normalized: bool = False) -> DataFrame:
+    """All columns of the candidates, ``similarity_score`` and ``best_target_id``: the most similar target by cosine; ties go to the smallest id.
+
+    Targets travel as one matrix per part of bounded size; candidates never move,
+    each slice of a batch is one matrix product. A null vector has a null score.
+    """
+    vector = F.col(target_vec) if normalized else unit(F.col(target_vec))
+    return _best(candidates, targets, F.col(cand_vec), target_id, vector, _given(normalized), False)
+
+
+def best_hashed(candidates: DataFrame, targets: DataFrame, text: str, target_id: str, target_text: str, dim: int = Similarity.dim) -> DataFrame:
+    """``best_targets`` by the hash embeddings of two text columns: a candidate's vector is made where it is compared and never leaves the worker."""
+    t = hash_embed(targets.select(target_id, target_text), target_text, dim, "__v")
+    return _best(candidates, t, F.col(text).cast("string"), target_id, F.col("__v"), lambda part: _text_vectors(part, dim), True)
+
+
 def top_k(df: DataFrame, k: int, score: str, order: str) -> DataFrame:
     """The k rows of the highest score, ties by the smaller order; sorted. Per-partition heaps and one merge."""
     if k <= 0:

@@ -407,9 +407,8 @@ def sim_by_target(spark, sf_dir):
 @query()
 def hash_embed_best(spark, sf_dir):
     """Every document's most similar benchmark item by hash embeddings."""
-    cand = similarity.hash_embed(table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
-    tgt = similarity.hash_embed(table(spark, sf_dir, "benchmark").select("item_id", "text"), "text")
-    return similarity.best_targets(cand.drop("text"), tgt, "embedding", "item_id", "embedding", normalized=True).select("doc_id", "best_target_id", F.round("similarity_score", 8).alias("similarity_score"))
+    best = similarity.best_hashed(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), "text", "item_id", "text")
+    return best.select("doc_id", "best_target_id", F.round("similarity_score", 8).alias("similarity_score"))
 
 
 @query("WITH a AS (SELECT doc_id FROM documents ORDER BY n_chars DESC, doc_id::VARCHAR LIMIT 200), b AS (SELECT doc_id FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 200), j AS (SELECT a.doc_id AS x, b.doc_id AS y FROM a FULL JOIN b USING (doc_id)) SELECT count(*) FILTER (WHERE y IS NULL) AS only_a, count(*) FILTER (WHERE x IS NULL) AS only_b, count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) AS in_both, round(count(*) FILTER (WHERE x IS NOT NULL AND y IS NOT NULL) / count(*), 6) AS jaccard FROM j")

@@ -1,8 +1,13 @@
+import tracemalloc
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators import convert, dedup, metrics, sample, similarity
+from tessera.plans import catalog
 
 
 def test_keep_first_and_best(spark):
@@ -70,6 +75,35 @@ def test_hash_vectors(spark):
     assert np.allclose(got[0], v[0]) and np.allclose(got[1], v[1])
 
 
+def test_best_hashed(spark):
+    texts = [(i, f"w{i % 7} w{i % 5} x" if i % 9 else None if i % 2 else "") for i in range(1100)] + [(2000, "long" * 100 + " w1")]
+    df, tgt = spark.createDataFrame(texts, "i int, t string").coalesce(1), spark.createDataFrame([("b", "w1 w2"), ("a", "w1 w2"), ("c", "x w3 w4"), ("d", None)], "k string, u string")
+    got = {r.i: r for r in similarity.best_hashed(df, tgt, "t", "k", "u", 64).collect()}
+    m = similarity.hash_vectors(["w1 w2", "x w3 w4", None], 64)
+    for i, t in texts:
+        p = np.round(similarity.hash_vectors([t], 64)[0] @ m.T, 12)
+        assert got[i].best_target_id == "acd"[p.argmax()] and got[i].similarity_score == pytest.approx(p.max())
+    # the same by way of a column of vectors
+    by = similarity.best_targets(similarity.hash_embed(df, "t", 64), similarity.hash_embed(tgt, "u", 64), "embedding", "k", "embedding", normalized=True)
+    assert {r.i: (r.best_target_id, r.similarity_score) for r in by.collect()} == {i: (r.best_target_id, r.similarity_score) for i, r in got.items()}
+
+
+def test_hash_embed_best_holds_slices(spark, sf):
+    """Vectors of a batch of 10,000 rows take 30 MB and never exist at once, in the worker or between two workers."""
+    matrix, ids = similarity.hash_vectors([f"t{i}" for i in range(200)], 384), pa.array(range(200))
+    score = similarity._scorer(SimpleNamespace(value=(matrix, ids)), lambda part: similarity._text_vectors(part, 384), True)
+    batch = pa.array([f"t{i} t{i + 1}" for i in range(10_000)])
+    tracemalloc.start()
+    try:
+        n = sum(map(len, score(iter([batch]))))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == len(batch) and peak < 16e6
+    plan = catalog.hash_embed_best(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "array<double>" not in plan
+
+
 def test_templates(spark):
     df = spark.createDataFrame([(" i ", None, "o")], "a string, b string, c string")
     args = F.col("a"), F.col("b"), F.col("c")
