@@ -21,7 +21,11 @@ def any_contained(text: Column, terms) -> Column:
 
 def length_reason(question: Column, answer: Column, cfg: Cleaning = Cleaning()) -> Column:
     """empty_field, then too_short, then too_long, over characters that aren't white space; null if none applies."""
-    q, a = content_chars(F.coalesce(question, F.lit(""))), content_chars(F.coalesce(answer, F.lit("")))
+    return counts_reason(content_chars(F.coalesce(question, F.lit(""))), content_chars(F.coalesce(answer, F.lit(""))), cfg)
+
+
+def counts_reason(q: Column, a: Column, cfg: Cleaning = Cleaning()) -> Column:
+    """``length_reason`` by the numbers of such characters."""
     return (
         F.when((q == 0) | (a == 0), "empty_field")
         .when((q < cfg.min_question) | (a < cfg.min_answer), "too_short")

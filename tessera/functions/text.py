@@ -63,7 +63,8 @@ def tidy(folded: Column) -> Column:
     head, rest = up_to_last(folded, ">")
     t = F.when(F.contains(folded, F.lit("<")), F.concat(F.regexp_replace(head, "<[^>]++>", " "), rest)).otherwise(folded)
     t = F.regexp_replace(t, r"[\x{FEFF}\x{200B}\x7F\x0E-\x1F\x0B\x0C\x00-\x08]", "")
-    t = F.regexp_replace(t, r"[ \t\r]+", " ")
+    # single spaces, most of all, stay as they are
+    t = F.regexp_replace(t, r"[\t\r][ \t\r]*+| [ \t\r]++", " ")
     t = F.regexp_replace(t, r"[\x{85}\x{2028}\x{2029}]", "\n")
     t = F.regexp_replace(t, r"(?U)\n[\s&&[^\n]]++", "\n")
     t = F.regexp_replace(t, r"(?U)(?<![\s&&[^\n]])[\s&&[^\n]]++\n", "\n")
@@ -75,8 +76,13 @@ def normalize(text: Column) -> Column:
 
     A lone CR is a space; VT and FF vanish; NEL and the Unicode separators end lines.
     """
+    return tidy(folded(text))
+
+
+def folded(text: Column) -> Column:
+    """Entities decoded once and NFKC, for use before ``tidy``; null is ''."""
     text = F.coalesce(text.cast("string"), F.lit(""))
-    return tidy(F.coalesce(_fold(F.when(text.rlike(_CHANGES), text)), text))
+    return F.coalesce(_fold(F.when(text.rlike(_CHANGES), text)), text)
 
 
 def fold_all(texts: Column) -> Column:

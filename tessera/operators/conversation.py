@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fold_all, tidy
 from ..plans.config import Cleaning
+from ..sources.shared import once
 
 _TURNS = "array<struct<from:string,value:string>>"
 
@@ -39,12 +40,12 @@ def repair(df: DataFrame, column: str = "conversations", cfg: Cleaning = Cleanin
     failures that changed nothing.
     """
     raw = F.coalesce(F.col(column), F.array().cast(_TURNS))
-    values = fold_all(F.transform(raw, lambda m: F.coalesce(m["value"], F.lit(""))))
-    turns = F.filter(F.zip_with(raw, values, lambda m, v: F.struct(role_of(m["from"], cfg).alias("from"), tidy(v).alias("value"))), lambda m: m["from"].isNotNull() & (m["value"] != ""))
-    d = df.withColumn("__turns", turns).withColumn("__m", _merged(F.col("__turns")))
+    folded = fold_all(F.transform(raw, lambda m: F.coalesce(m["value"], F.lit(""))))
+    turns = F.filter(F.zip_with(raw, "__values", lambda m, v: F.struct(role_of(m["from"], cfg).alias("from"), tidy(v).alias("value"))), lambda m: m["from"].isNotNull() & (m["value"] != ""))
+    d = once(once(df.withColumn("__values", folded), {"__turns": turns}), {"__m": _merged(F.col("__turns"))})
     # merged values are normalised again, as joining can make entities and tags
     again = fold_all(F.transform("__m", lambda m: F.when(m["m"], m["value"]).otherwise(F.lit(""))))
-    d = d.withColumn("__m", F.zip_with("__m", again, lambda m, v: F.struct(m["from"].alias("from"), F.when(m["m"], tidy(v)).otherwise(m["value"]).alias("value"))))
+    d = once(d.withColumn("__again", again), {"__m": F.zip_with("__m", "__again", lambda m, v: F.struct(m["from"].alias("from"), F.when(m["m"], tidy(v)).otherwise(m["value"]).alias("value")))})
     head = F.when(F.try_element_at("__m", F.lit(1))["from"] == "gpt", 2).otherwise(1)
     tail = F.when(F.try_element_at("__m", F.lit(-1))["from"] == "human", 1).otherwise(0)
     size = F.greatest(F.size("__m") - head + 1 - tail, F.lit(0))
@@ -52,7 +53,7 @@ def repair(df: DataFrame, column: str = "conversations", cfg: Cleaning = Cleanin
     return (
         d.withColumn("messages", F.when(size >= 2, kept).cast(_TURNS))
         .withColumn("changed", F.col(column).isNotNull() & (size != F.size(raw)))
-        .drop("__turns", "__m")
+        .drop("__values", "__turns", "__m", "__again")
     )
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import is_ad, length_reason
-from ..functions.text import normalize
+from ..functions.rules import counts_reason, is_ad
+from ..functions.text import content_chars, folded, tidy
 from ..operators.conversation import repair
 from ..operators.dedup import chat_key, mark_repeats, pair_key
 from ..sources.jsonl import decoded, field, first_of
+from ..sources.shared import once
 from .config import Cleaning
 
 #: String forms of values that count as nothing when a record is routed.
@@ -36,11 +37,10 @@ def classify(scan: DataFrame, cfg: Cleaning = Cleaning()) -> DataFrame:
     items = F.try_variant_get("__conv", "$", "array<variant>")
     get = lambda m, a, b: F.coalesce(F.try_variant_get(m, f"$.{a}", "string"), F.try_variant_get(m, f"$.{b}", "string"))
     turns = F.transform(items, lambda m: F.struct(get(m, "from", "role").alias("from"), get(m, "value", "content").alias("value")))
-    d = repair(d.withColumn("__turns_in", F.when(F.col("__multi"), turns)), "__turns_in", cfg)
-
-    for name, names in (("__i", cfg.instruction_fields), ("__n", cfg.input_fields), ("__o", cfg.output_fields), ("__q", cfg.question_fields), ("__a", cfg.answer_fields)):
-        d = d.withColumn(name, F.when(~F.col("__multi"), first_of(names)))
-    d = d.withColumns({c: normalize(F.col(c)) for c in ("__i", "__n", "__o", "__q", "__a")})
+    fields = {"__i": cfg.instruction_fields, "__n": cfg.input_fields, "__o": cfg.output_fields, "__q": cfg.question_fields, "__a": cfg.answer_fields}
+    d = once(d, {"__turns_in": F.when(F.col("__multi"), turns)} | {c: F.when(~F.col("__multi"), first_of(names)) for c, names in fields.items()}).drop("value", "v", "__conv")
+    d = repair(d, "__turns_in", cfg).drop("__turns_in")
+    d = once(d.withColumns({c: folded(F.col(c)) for c in fields}), {c: tidy(F.col(c)) for c in fields})
     given = (F.col("__i") != "") & (F.col("__o") != "")
     d = d.withColumns({
         "instruction": F.when(given, F.col("__i")).otherwise(F.lit(cfg.default_instruction)),
@@ -49,12 +49,13 @@ def classify(scan: DataFrame, cfg: Cleaning = Cleaning()) -> DataFrame:
     })
     question = F.when(F.col("input") != "", F.col("input")).when(given & (F.col("instruction") != cfg.default_instruction), F.col("instruction")).otherwise(F.lit(""))
     seen = F.concat_ws("\n", *([F.nullif(F.col("instruction"), F.lit(cfg.default_instruction))] if not cfg.parity else []), "input", "output")
+    d = once(d, {"__nq": content_chars(question), "__na": content_chars(F.col("output"))})
     chat_text = F.array_join(F.transform("messages", lambda m: m["value"]), "\n")
     d = d.withColumn(
         "reason",
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when(F.col("__multi"), F.when(F.col("messages").isNull(), "multi_turn_failed").when(is_ad(chat_text, cfg), "ad_or_contact"))
-        .otherwise(F.coalesce(length_reason(question, F.col("output"), cfg), F.when(is_ad(seen, cfg), F.lit("ad_or_contact")))),
+        .otherwise(F.coalesce(counts_reason(F.col("__nq"), F.col("__na"), cfg), F.when(is_ad(seen, cfg), F.lit("ad_or_contact")))),
     )
     key = F.when(F.col("reason").isNull(), F.when(F.col("__multi"), F.concat(F.lit("m"), chat_key(F.col("messages")))).otherwise(F.concat(F.lit("s"), pair_key(question, F.col("output")))))
     d = d.withColumn("__key", key)

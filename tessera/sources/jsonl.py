@@ -34,7 +34,7 @@ def decoded(scan: DataFrame, mode: str = "tolerant") -> DataFrame:
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode}; known: {MODES}")
-    blank = F.regexp_replace("value", r"(?U)\s", "") == ""
+    blank = ~F.col("value").rlike(r"(?U)\S")
     d = scan.where("value IS NOT NULL")
     if mode != "skip":
         d = d.where(~blank)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -30,6 +31,11 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """With the columns, each worked out once a row whatever refers to it: unlike a projection, a generator of one row is not copied into the expressions above it."""
+    return df.select(*(F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in columns), F.inline(F.array(F.struct(*(v.alias(k) for k, v in columns.items())))))
+
+
 class Files:
     """A few operations of the Hadoop file system of a path."""
 

@@ -145,3 +145,10 @@ def test_stream(spark, tmp_path):
     put(tmp_path / "s/b.jsonl", [{"question": "what is it then", "answer": "a long enough answer"}, {"question": "something new", "answer": "another long answer"}])
     clean_stream(spark, str(tmp_path / "s"), out, cp).awaitTermination()
     assert sorted(r.input for r in spark.read.parquet(out).collect()) == ["something new", "what is it then"]
+
+
+def test_texts_are_normalised_once(spark):
+    """The plan has the chain of patterns once a field and twice for turns, however often their results are used."""
+    scan = spark.createDataFrame([("f", 0, "{}")], "file string, ord long, value string")
+    plan = clean.report(clean.classify(scan))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("{3,}") <= 7
