@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.rules import benchmark_reason, is_high_risk
 from ..functions.text import collapse, plain, unix_lines
 from ..plans.config import FORMAT_INSTRUCTION, Cases, Cleaning, Scoring
+from ..sources.shared import once
 from .keywords import answer_keywords
 
 _CHAT = "array<struct<from:string,value:string>>"
@@ -106,13 +107,11 @@ def case_prompt(instruction: Column, input_: Column) -> Column:
 def complex_cases(df: DataFrame, row_id: Column, cfg: Cases = Cases(), scoring: Scoring = Scoring()) -> DataFrame:
     """Case rows of (instruction, input, output): keywords of the answer, else of the prompt; rows with neither, without a prompt or an answer go."""
     prompt, answer = case_prompt(F.col("instruction"), F.col("input")), collapse(F.col("output"))
-    kw = answer_keywords(answer, prompt, cfg)
     have = df.columns
+    found = once(df, {"__p": prompt, "__a": answer}).where("__p <> '' AND __a <> ''").withColumn("__k", answer_keywords(F.col("__a"), F.col("__p"), cfg))
+    # else the filter would look for keywords a second time, in further Python workers
     return (
-        df.withColumn("__p", prompt)
-        .withColumn("__a", answer)
-        .where("__p <> '' AND __a <> ''")
-        .withColumn("__k", kw)
+        once(found, {"__k": F.col("__k")})
         .where("__k IS NOT NULL")
         .select(
             F.concat(F.lit("case-"), row_id.cast("string")).alias("id"),

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,6 +16,11 @@ from ..plans.config import Cases
 BORDERS = r"[\s,.;:，。；：、（）()\[\]【】<>《》/\\]+"
 
 
+#: A Python worker holds the terms of at most so many rows at a time, and one text as a string.
+SLICE_ROWS = 512
+_TERMS = pa.list_(pa.string())
+
+
 def terms(text: str | None, cfg: Cases = Cases(), borders: str = BORDERS) -> list[str]:
     """The most frequent terms of 2 to 16 characters: by count, then shorter, then earlier.
 
@@ -34,9 +40,11 @@ def terms(text: str | None, cfg: Cases = Cases(), borders: str = BORDERS) -> lis
 def ranked_terms(text: Column, cfg: Cases = Cases(), borders: str = BORDERS) -> Column:
     """``terms`` as a column."""
 
-    @F.pandas_udf("array<string>")
-    def ranked(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: terms(t, cfg, borders))
+    @F.arrow_udf("array<string>")
+    def ranked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            for at in range(0, len(texts), SLICE_ROWS):
+                yield pa.array([terms(t.as_py(), cfg, borders) for t in texts.slice(at, SLICE_ROWS)], _TERMS)
 
     return ranked(text)
 
@@ -44,8 +52,11 @@ def ranked_terms(text: Column, cfg: Cases = Cases(), borders: str = BORDERS) ->
 def answer_keywords(answer: Column, prompt: Column, cfg: Cases = Cases()) -> Column:
     """Terms of the answer, or of the prompt if it has none; null if neither has."""
 
-    @F.pandas_udf("array<string>")
-    def either(answers: pd.Series, prompts: pd.Series) -> pd.Series:
-        return pd.Series([terms(a, cfg) or terms(p, cfg) or None for a, p in zip(answers, prompts, strict=True)], dtype=object)
+    @F.arrow_udf("array<string>")
+    def either(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for answers, prompts in batches:
+            for at in range(0, len(answers), SLICE_ROWS):
+                both = zip(answers.slice(at, SLICE_ROWS), prompts.slice(at, SLICE_ROWS), strict=True)
+                yield pa.array([terms(a.as_py(), cfg) or terms(p.as_py(), cfg) or None for a, p in both], _TERMS)
 
     return either(answer, prompt)

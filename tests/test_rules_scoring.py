@@ -135,3 +135,11 @@ def test_config(tmp_path):
     assert load(Cleaning, str(tmp_path / "none.yaml")) == Cleaning()
     with pytest.raises(ValueError):
         load(Cleaning, None, nonsense=1)
+
+
+def test_cases_look_for_keywords_once(spark, sf):
+    """One pass through Python workers, not another one for the filter."""
+    from tessera.plans import catalog
+
+    plan = catalog.complex_cases(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
